@@ -1,6 +1,5 @@
 from annualis.functions.calc import (
-    all_of, clamp, date_day, date_month, date_year, div, fill, flag, in_ranges, null_if,
-    row_total,
+    clamp, date_day, date_month, date_year, div, fill, flag, in_ranges, null_if, row_total,
 )
 from annualis.functions.lookups import attach_code, code_table, scattered_join
 from annualis.functions.text import (
@@ -8,7 +7,7 @@ from annualis.functions.text import (
 )
 
 __all__ = [
-    "all_of", "attach_code", "birth_month", "birth_year", "clamp", "code_table", "date_day",
+    "attach_code", "birth_month", "birth_year", "clamp", "code_table", "date_day",
     "date_month", "date_year", "div", "fill", "flag", "in_ranges", "null_if", "plain_int",
     "row_total", "safe_int", "scattered_join", "strip", "strip_zeros", "without_prefix",
 ]

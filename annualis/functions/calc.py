@@ -1,7 +1,8 @@
-"""Arithmetic and predicate helpers with explicit null behaviour."""
+"""Arithmetic and predicate helpers with explicit null behaviour.
 
-from functools import reduce
-from operator import add, and_, or_
+Expressions generated over many columns or codes are SQL text: the same plan as Column calls,
+but one call into the JVM each.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,16 +53,11 @@ def flag(condition: Column) -> Column:
     return condition.cast("tinyint")
 
 
-def in_ranges(c: Column | str, ranges) -> Column:
+def in_ranges(c: str, ranges) -> Column:
     """True inside any inclusive (low, high) range; null for null."""
-    c = _col(c)
-    return reduce(or_, [c.between(low, high) if low != high else c == low for low, high in ranges])
+    return F.expr(" OR ".join(f"{c} BETWEEN {low} AND {high}" for low, high in ranges))
 
 
-def all_of(conditions) -> Column:
-    return reduce(and_, conditions)
-
-
-def row_total(columns) -> Column:
+def row_total(columns: list[str]) -> Column:
     """Sum across columns of one row, nulls counting as zero."""
-    return reduce(add, [fill(c, 0) for c in columns])
+    return F.expr(" + ".join(f"coalesce({c}, 0)" for c in columns))

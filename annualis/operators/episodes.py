@@ -45,43 +45,56 @@ def expand_to_years(episodes: DataFrame, first_year: int = codes.FIRST_PANEL_YEA
     # sequence() would count down when start > end, and greatest/least skip nulls
     touching = episodes.filter((start <= end) & F.col("entry_year").isNotNull()
                                & F.col("exit_year").isNotNull())
-    return touching.select("*", F.explode(F.sequence(start, end)).cast("smallint").alias("year"))
+    years = F.sequence(start.cast("smallint"), end.cast("smallint"))
+    return touching.select("*", F.explode(years).alias("year"))
 
 
-def month_days(month: int, year: str = "year", entry: str = "entry_date",
-               exit_: str = "exit_date") -> Column:
-    """Days an episode covers in one month of a year, months counting 30 days; null outside.
+def monthly_days(episode_years: DataFrame, year: str = "year", entry: str = "entry_date",
+                 exit_: str = "exit_date") -> DataFrame:
+    """Add days1..days12: the days an episode covers per month of the year, months counting 30.
 
-    Within the months the episode touches, the covered stretch runs from the entry day (or 1)
-    to the exit day (or the month's end: 30, for December 31), limited to 1..30. In February a
-    stretch from day 1 to day 28 or 29 is the whole month.
+    A month outside the episode is null, one inside has 30 days. The first month counts from
+    the entry day to day 30 (31 in December), the last month up to the exit day, limited to
+    1..30; a stretch of February that begins on day 1 and ends on day 28 or 29 is a full month.
+    The parts that do not depend on the month are columns of a projection of their own, so the
+    twelve month columns stay small enough to be compiled.
     """
-    this = F.col(year) * 100 + month
-    begins, ends = div(entry, 100) == this, div(exit_, 100) == this
-    from_day = F.when(begins, date_day(entry)).otherwise(F.lit(1))
-    to_day = F.when(ends, date_day(exit_)).otherwise(F.lit(31 if month == 12 else 30))
-    if month == 2:
-        closes = ends & date_day(exit_).isin(28, 29) & (from_day == 1)
-        to_day = F.when(closes, F.lit(30)).otherwise(to_day)
-    touched = F.lit(this).between(div(entry, 100), div(exit_, 100))
-    return F.when(touched, clamp(to_day - from_day + 1, 1, 30)).cast("int")
+    first, last = F.col("_first_month"), F.col("_last_month")
+    entry_day, exit_day = F.col("_entry_day"), F.col("_exit_day")
+    ends_february = (last == 2) & exit_day.isin(28, 29)
+    this_year = F.col(year).cast("int") * 100
+    df = episode_years.withColumns({
+        # months counted from the row's year: below 1 is earlier, above 12 later
+        "_first_month": (div(entry, 100) - this_year).cast("int"),
+        "_last_month": (div(exit_, 100) - this_year).cast("int"),
+        "_entry_day": date_day(entry), "_exit_day": date_day(exit_),
+    }).withColumns({
+        "_from_entry": clamp(F.when(first == 12, 31).otherwise(30) - entry_day + 1, 1, 30),
+        "_to_exit": F.when(ends_february, F.lit(30)).otherwise(clamp(exit_day, 1, 30)),
+        "_between": F.when(ends_february & (entry_day == 1), F.lit(30))
+                     .otherwise(clamp(exit_day - entry_day + 1, 1, 30)),
+    })
 
+    def days(month: int) -> Column:
+        return F.expr(f"""
+            CASE WHEN _first_month <= {month} AND _last_month >= {month} THEN
+                CASE WHEN _first_month < {month} AND _last_month > {month} THEN 30
+                     WHEN _first_month < {month} THEN _to_exit
+                     WHEN _last_month > {month} THEN _from_entry
+                     ELSE _between END
+            END""")
 
-def monthly_days(episode_years: DataFrame, year: str = "year", entry: str = "entry_date",
-                 exit_: str = "exit_date") -> DataFrame:
-    """Add days1..days12. A narrow operation of built-in expressions."""
-    return episode_years.withColumns(
-        {f"days{m}": month_days(m, year, entry, exit_) for m in MONTHS})
+    helpers = [c for c in df.columns if c not in episode_years.columns]
+    return df.withColumns({f"days{m}": days(m) for m in MONTHS}).drop(*helpers)
 
 
 def classify_episode(df: DataFrame) -> DataFrame:
     """Add the 1/0/null flags of an episode; a null code gives a null flag."""
-    unemployed = F.col("job_relationship").isin(codes.UNEMPLOYED_RELATIONS)
-    regime = F.col("contribution_regime")
+    unemployed = F.expr(f"job_relationship IN {tuple(codes.UNEMPLOYED_RELATIONS)}")
     return df.withColumns({
-        "rel_contract": flag(in_ranges(regime, codes.WORK_REGIMES) & ~unemployed),
-        "self_emp": flag(in_ranges(regime, codes.SELF_EMPLOYED_REGIMES)),
-        "emp_hogar": flag(in_ranges(regime, codes.DOMESTIC_REGIMES)),
+        "rel_contract": flag(in_ranges("contribution_regime", codes.WORK_REGIMES) & ~unemployed),
+        "self_emp": flag(in_ranges("contribution_regime", codes.SELF_EMPLOYED_REGIMES)),
+        "emp_hogar": flag(in_ranges("contribution_regime", codes.DOMESTIC_REGIMES)),
         "unemp_jr": flag(unemployed),
         "basque_navarra": flag(in_ranges("firm_muni", codes.FORAL_MUNICIPALITIES)),
     })

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from annualis import codes
 from annualis.operators import (
-    annualise, assemble_panel, attach_contributions, classify_episode, cohort_of,
-    consolidate_entity, demographics_join, expand_to_years, family_composition,
+    annualise, assemble_panel, attach_contributions, cohort_of, consolidate_entity,
+    demographics_join, expand_to_years, family_composition,
     firm_id_correction, firm_panel, income_by_firm, join_household, merge_contributions,
     monthly_days, panel_summary, prepare_episodes, reclassify_contract, rectangularise,
     restrict_to_cohort, retirement_year,
@@ -81,18 +81,15 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
                    for autonomous in (False, True)]
         return merge_contributions(*sources)
 
-    def with_days():
-        return monthly_days(expand_to_years(table(2, "episodes", episodes),
-                                            last_year=last_panel_year))
-
     def wide():
         return attach_contributions(
             expand_to_years(table(2, "episodes", episodes), last_year=last_panel_year),
             table(2, "contributions", contributions))
 
     def annual():
-        return annualise(classify_episode(with_days()), table(2, "contributions", contributions),
-                         per_key, flags, calendar_lags)
+        return annualise(table(2, "episodes", episodes),
+                         table(2, "contributions", contributions),
+                         per_key, flags, calendar_lags, last_year=last_panel_year)
 
     def demographics():
         joined = demographics_join(table(4, "annual", annual), people, last_panel_year)
