@@ -14,33 +14,48 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip_sql(c: str) -> str:
+    """The text of ``strip``. Sources have dozens of such fields, and SQL text is one call into
+    the JVM per field."""
+    return f"btrim({c}, '{WHITE_SPACE}')"
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.btrim(_col(c), F.lit(WHITE_SPACE))
+    if isinstance(c, str):
+        return F.expr(strip_sql(c))
+    return F.btrim(c, F.lit(WHITE_SPACE))
+
+
+# Text that is a plain integer. Testing it first matters: a failed try_cast costs an exception
+# per value, some fifty times a successful one.
+INTEGER = "^[+-]?[0-9]{1,19}$"
 
 
 def safe_int(c: Column | str, dtype: str = "bigint") -> Column:
     """Integer after stripping; whatever is not a plain integer of that width becomes null."""
-    return strip(c).try_cast(dtype)
+    if isinstance(c, str):
+        text = strip_sql(c)
+        return F.expr(f"CASE WHEN {text} RLIKE '{INTEGER}' THEN try_cast({text} AS {dtype}) END")
+    return plain_int(strip(c), dtype)
 
 
 def plain_int(c: Column | str, dtype: str = "int") -> Column:
     """Integer of a text that may not contain blanks (a cast alone would ignore them)."""
     c = _col(c)
-    return F.when(F.length(strip(c)) == F.length(c), c.try_cast(dtype))
+    return F.when(c.rlike(INTEGER), c.try_cast(dtype))
 
 
-def without_prefix(c: Column | str, prefix: str = "N") -> Column:
+def without_prefix(c: str, prefix: str = "N") -> Column:
     """Strip, drop one leading prefix, strip again."""
-    c = strip(c)
-    rest = F.substr(c, F.lit(len(prefix) + 1))
-    return strip(F.when(c.startswith(prefix), rest).otherwise(c))
+    bare = strip_sql(c)
+    rest = f"substr({bare}, {len(prefix) + 1})"
+    return F.expr(strip_sql(f"CASE WHEN startswith({bare}, '{prefix}') THEN {rest} ELSE {bare} END"))
 
 
 def strip_zeros(c: Column | str) -> Column:
     """Drop leading zeros; a text of zeros only becomes '0'; null stays null."""
-    c = strip(c)
-    bare = F.ltrim(c, F.lit("0"))
+    bare = F.ltrim(strip(c), F.lit("0"))
     return F.when(bare == "", F.lit("0")).otherwise(bare)
 
 

@@ -48,11 +48,11 @@ def firm_years(episode_years: DataFrame, contributions: DataFrame | None = None,
     year_flags = [c for c in YEAR_FLAGS if c in have]
 
     def first(c):
-        return F.expr(f"min_by({c}, {EPISODE_ORDER}) AS {c}")
+        return F.expr(f"min_by({c}, _order) AS {c}")
 
-    df = episode_years.groupBy(*FIRM_KEYS).agg(
+    df = episode_years.withColumn("_order", F.expr(EPISODE_ORDER)).groupBy(*FIRM_KEYS).agg(
         F.expr("count(1) AS n_episodes"), F.sum(row_total(DAYS)).alias("firm_days"),
-        F.expr(f"min({EPISODE_ORDER}) AS first_episode"),
+        F.expr("min(_order) AS first_episode"),
         F.expr("max(CASE WHEN rel_contract = 1 THEN 1 END) AS worked"),
         *[F.expr(f"max(CASE WHEN rel_contract = 1 THEN {c} END) AS {c}") for c in DAYS],
         *[first(c) for c in carried],

@@ -1,3 +1,5 @@
-from annualis.plans.panel import STAGES, build_panel, run, scan_sources
+from annualis.plans.panel import (
+    SHARED, STAGES, build_panel, run, scan_sources, stage_tables,
+)
 
-__all__ = ["STAGES", "build_panel", "run", "scan_sources"]
+__all__ = ["SHARED", "STAGES", "build_panel", "run", "scan_sources", "stage_tables"]

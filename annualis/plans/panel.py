@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 from annualis import codes
 from annualis.operators import (
     annualise, assemble_panel, attach_contributions, cohort_of, consolidate_entity,
-    demographics_join, expand_to_years, family_composition,
-    firm_id_correction, firm_panel, income_by_firm, join_household, merge_contributions,
-    monthly_days, panel_summary, prepare_episodes, reclassify_contract, rectangularise,
+    demographics_join, expand_to_years, family_composition, firm_id_correction, firm_panel,
+    income_by_firm, join_household, monthly_days, panel_summary, prepare_episodes, reclassify_contract, rectangularise,
     restrict_to_cohort, retirement_year,
 )
+from annualis.operators.contributions import monthly_maximum
 from annualis.operators.income import person_income, work_income
 from annualis.sources import layouts
 from annualis.sources.scan import scan_raw
 from annualis.sources.stages import has_stage, read_stage, write_stage, write_summary
 
-# Stage number -> its tables. Tables in OPTIONAL are wide copies that nothing else reads.
+# Stage number -> its tables. Nothing reads the RESULTS_ONLY back; WIDE ones are large copies.
 STAGES = {
     1: ["persons", "individuals_full", "individuals_last", "firms"],
     2: ["episodes", "contributions", "merged"],
@@ -35,7 +35,10 @@ STAGES = {
         "income_pension", "pensions"],
     7: ["panel"],
 }
-OPTIONAL = {"individuals_full", "merged", "monthly_days"}
+WIDE = {"individuals_full", "merged", "monthly_days"}
+RESULTS_ONLY = WIDE | {"firms", "income_pension"}
+# The tables several steps read: enough to keep a single query from doing work twice.
+SHARED = {"persons", "individuals_last", "episodes", "contributions", "income"}
 SOURCES = ["PERSONAL", "CONVIVIR", "AFILIAD", "COTIZA", "FISCAL", "PRESTAC"]
 
 Table = Callable[[int, str, Callable[[], DataFrame]], DataFrame]
@@ -75,11 +78,8 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
         return prepare_episodes(kept)
 
     def contributions():
-        rows = _years(raw, "COTIZA", first, last)
-        sources = [restrict_to_cohort(layouts.read_contributions(rows, autonomous), cohort,
-                                      ["firm_cc2", "year"])
-                   for autonomous in (False, True)]
-        return merge_contributions(*sources)
+        rows = layouts.read_all_contributions(_years(raw, "COTIZA", first, last))
+        return monthly_maximum(restrict_to_cohort(rows, cohort, ["firm_cc2", "year"]))
 
     def wide():
         return attach_contributions(
@@ -125,22 +125,19 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
     return table(7, "panel", panel)
 
 
-def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FIRST_EXTRACT,
-        last: int = codes.LAST_EXTRACT, from_stage: int = 1, wide_tables: bool = False,
-        **options) -> DataFrame:
-    """Build and write every stage table, the panel (by year) and the summary.
+def stage_tables(spark: SparkSession, out_root: str, from_stage: int = 1,
+                 keep: set[str] | None = None) -> Table:
+    """A ``table`` function that writes each step once, and reads steps before ``from_stage``.
 
-    Stages before ``from_stage`` are read from ``out_root`` instead of computed (and computed
-    if missing). ``wide_tables`` also writes the rectangular person panel and the episode-year
-    tables with monthly bases and days; nothing reads them back, so they are off by default.
+    ``keep`` limits the written steps; all others stay lazy.
     """
     done: dict[str, DataFrame] = {}
 
-    def table(stage: int, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name in OPTIONAL and not wide_tables:
-            return None
+    def table(stage: int, name: str, build: Callable[[], DataFrame]) -> DataFrame | None:
         if name not in done:
-            if stage < from_stage and has_stage(spark, out_root, name):
+            if keep is not None and name not in keep:
+                done[name] = None if name in RESULTS_ONLY else build()
+            elif stage < from_stage and has_stage(spark, out_root, name):
                 done[name] = read_stage(spark, out_root, name)
             elif name == "panel":
                 # well-sized files per year: AQE splits big years and merges small ones
@@ -151,6 +148,21 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
                 done[name] = write_stage(build(), out_root, name)
         return done[name]
 
+    return table
+
+
+def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FIRST_EXTRACT,
+        last: int = codes.LAST_EXTRACT, from_stage: int = 1, wide_tables: bool = False,
+        **options) -> DataFrame:
+    """Build and write every stage table, the panel (by year) and the summary.
+
+    Stages before ``from_stage`` are read from ``out_root`` instead of computed (and computed
+    if missing). ``wide_tables`` also writes the rectangular person panel and the episode-year
+    tables with monthly bases and days; nothing reads them back, so they are off by default.
+    """
+    names = {name for tables in STAGES.values() for name in tables}
+    keep = names if wide_tables else names - WIDE
+    table = stage_tables(spark, out_root, from_stage, keep)
     panel = build_panel(scan_sources(spark, raw_root), first, last, table=table, **options)
     write_summary(panel_summary(panel), out_root)
     return panel

@@ -9,6 +9,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A generated method above 8000 bytes of bytecode is never compiled by the JVM's JIT; wide
+    # rows are faster as a chain of smaller generated projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

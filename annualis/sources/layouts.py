@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from annualis import codes
 from annualis.functions import (
-    attach_code, fill, null_if, safe_int, strip, without_prefix,
+    attach_code, fill, null_if, plain_int, safe_int, strip, without_prefix,
 )
+from annualis.functions.text import INTEGER, strip_sql
 from annualis.operators.keys import dedup_by_key, drop_conflicting_keys
 
 MONTHS = range(1, 13)
@@ -36,10 +37,12 @@ EPISODE_TEXT_FIELDS = {
 # extract, 2009 after), and from 2010 the 1993 code is repeated at position 29.
 INDUSTRY_POSITION, OLD_INDUSTRY_POSITION, LAST_OLD_INDUSTRY_EXTRACT = 11, 29, 2009
 
-# First monthly base, until and after the 2012 extract; the self-employed part.
+# First monthly base, until and after the 2012 extract; regular and self-employed
+# parts.
 MONTH_START_UNTIL_2012, MONTH_START_AFTER_2012 = 8, 3
-AUTONOMOUS_PART = 13
-REGULAR_PARTS = (1, 12)
+# (column prefix, test on the part)
+BASES = {"regular": ("contribution_", "part BETWEEN 1 AND 12"),
+         "autonomous": ("contribution_aut_", "part = 13")}
 
 # Number of episode parts per extract.
 EPISODE_PARTS_UNTIL_2012, EPISODE_PARTS_AFTER_2012 = 3, 4
@@ -71,14 +74,14 @@ def read_persons(raw: DataFrame, on_conflict: str = "drop") -> DataFrame:
         df = drop_conflicting_keys(df, ["extract_year", "person_id"])
 
     def country(c):
-        return null_if(without_prefix(c).try_cast("int"), 99)
+        return null_if(plain_int(without_prefix(c)), 99)
 
     df = df.select(
         "extract_year", "person_id", "birth_date", "sex",
         F.coalesce(country("nationality_text"), country("birth_country_text"))
         .alias("nationality"),
         country("birth_country_text").alias("birth_country"),
-        without_prefix("birth_prov_text").try_cast("int").alias("birth_prov"),
+        plain_int(without_prefix("birth_prov_text")).alias("birth_prov"),
         "ss_reg_prov", "person_muni_latest",
         safe_int("death_text").alias("death_year_month"),
         "edu_code",
@@ -120,19 +123,37 @@ def delivered_episode_parts(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("part").between(F.lit(1), last))
 
 
-def read_contributions(raw: DataFrame, autonomous: bool = False) -> DataFrame:
-    """Monthly contribution bases in cents: the regular parts, or the self-employed part."""
-    prefix = "contribution_aut_" if autonomous else "contribution_"
-    if "part" in raw.columns:
-        raw = raw.filter(F.col("part") == AUTONOMOUS_PART if autonomous
-                         else F.col("part").between(*REGULAR_PARTS))
-    months = [
-        safe_int(_by_extract(2012, F.col(f"c{MONTH_START_UNTIL_2012 + m - 1}"),
-                             F.col(f"c{MONTH_START_AFTER_2012 + m - 1}"))).alias(f"{prefix}{m}")
+def _bases(prefix: str, parts: str) -> list[Column]:
+    """The twelve monthly bases of the given parts, null on rows of other parts."""
+    def base(position: int) -> str:
+        text = strip_sql(f"c{position}")
+        return f"WHEN {text} RLIKE '{INTEGER}' THEN try_cast({text} AS BIGINT)"
+
+    return [
+        F.expr(f"""
+            CASE WHEN NOT ({parts}) THEN NULL
+                 WHEN extract_year <= 2012 THEN CASE {base(MONTH_START_UNTIL_2012 + m - 1)} END
+                 ELSE CASE {base(MONTH_START_AFTER_2012 + m - 1)} END END AS {prefix}{m}""")
         for m in MONTHS
     ]
-    return raw.select("extract_year", strip("c0").alias("person_id"), strip("c1").alias("firm_cc2"),
-                      safe_int("c2", "smallint").alias("year"), *months)
+
+
+def _contribution_keys() -> list[Column]:
+    return [F.col("extract_year"), strip("c0").alias("person_id"), strip("c1").alias("firm_cc2"),
+            safe_int("c2", "smallint").alias("year")]
+
+
+def read_contributions(raw: DataFrame, autonomous: bool = False) -> DataFrame:
+    """Monthly contribution bases in cents: the regular parts, or the self-employed part."""
+    prefix, parts = BASES["autonomous" if autonomous else "regular"]
+    return raw.filter(parts).select(*_contribution_keys(), *_bases(prefix, "part IS NOT NULL"))
+
+
+def read_all_contributions(raw: DataFrame) -> DataFrame:
+    """Regular and self-employed bases in one pass, side by side, rows not yet merged."""
+    months = [c for prefix, parts in BASES.values() for c in _bases(prefix, parts)]
+    any_part = " OR ".join(parts for _, parts in BASES.values())
+    return raw.filter(any_part).select(*_contribution_keys(), *months)
 
 
 def read_payments(raw: DataFrame) -> DataFrame:

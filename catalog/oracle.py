@@ -97,6 +97,7 @@ FROM (SELECT *, count(*) OVER (PARTITION BY extract_year, person_id) AS n FROM (
 LEFT JOIN {code_values(codes.EDUCATION_7, 'code', 'education').replace(') t(', ') e(')} ON e.code = edu_code
 WHERE n = 1""")
 oracle("read_persons", ["persons_read"], "SELECT * FROM persons_read")
+oracle("scan_files", ["persons_read"], "SELECT * FROM persons_read")
 
 _PAIRS = [(f"birth_date{i}", f"sex{i}", 2 * i - 1, 2 * i) for i in range(2, 11)]
 _HOME_COLUMNS = [c for b, s, _, _ in _PAIRS for c in (b, s)]
