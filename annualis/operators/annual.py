@@ -17,7 +17,8 @@ from annualis.functions import row_total
 from annualis.operators.contributions import AUTONOMOUS, REGULAR
 from annualis.operators.episodes import DAYS, classify_episode, expand_to_years, monthly_days
 
-FIRM_KEYS = ["person_id", "firm_cc2", "year"]
+# In this order the join on them leaves rows sorted for the aggregate by person and year.
+FIRM_KEYS = ["person_id", "year", "firm_cc2"]
 EPISODE_KEYS = ["person_id", "firm_cc2", "entry_date", "exit_date"]
 # The attributes of the main job that are carried to the panel.
 MAIN_JOB = ["contribution_regime", "contribution_group", "contract_type", "ptcoef", "firm_muni",
