@@ -26,7 +26,7 @@ from annualis.sources.stages import has_stage, read_stage, write_stage, write_su
 
 # Stage number -> its tables. Nothing reads the RESULTS_ONLY back; WIDE ones are large copies.
 STAGES = {
-    1: ["persons", "individuals_full", "individuals_last", "firms"],
+    1: ["persons", "individuals_full", "individuals_last", "episodes_typed", "firms"],
     2: ["episodes", "contributions", "merged"],
     3: ["monthly_days"],
     4: ["annual"],
@@ -38,7 +38,7 @@ STAGES = {
 WIDE = {"individuals_full", "merged", "monthly_days"}
 RESULTS_ONLY = WIDE | {"firms", "income_pension"}
 # The tables several steps read: enough to keep a single query from doing work twice.
-SHARED = {"persons", "individuals_last", "episodes", "contributions", "income"}
+SHARED = {"persons", "individuals_last", "episodes_typed", "episodes", "contributions", "income"}
 SOURCES = ["PERSONAL", "CONVIVIR", "AFILIAD", "COTIZA", "FISCAL", "PRESTAC"]
 
 Table = Callable[[int, str, Callable[[], DataFrame]], DataFrame]
@@ -69,10 +69,14 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
         homes = layouts.read_households(_years(raw, "CONVIVIR", first, last))
         return consolidate_entity(join_household(people, homes))
 
-    def all_episodes():
+    def typed_episodes():
         rows = _years(raw, "AFILIAD", first, last)
         return layouts.read_episodes(layouts.delivered_episode_parts(rows))
 
+    def all_episodes():
+        # three steps need different columns of it, so the text is only parsed once
+        return table(1, "episodes_typed", typed_episodes)
+
     def episodes():
         kept = restrict_to_cohort(all_episodes(), cohort, ["firm_cc2", "entry_date", "exit_date"])
         return prepare_episodes(kept)

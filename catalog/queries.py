@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ def query(f):
     return f
 
 
-def test_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+@lru_cache(maxsize=64)
+def source_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A test table. A small one is a single row group, hence a single task: its rows are spread
     over the cores by key. A table of many files is left as it is."""
     df = spark.read.parquet(f"{sf}/{name}.parquet")
@@ -51,7 +53,7 @@ def test_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def projection(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    tables = {t: test_table(spark, sf, t) for t in tables_of(name)}
+    tables = {t: source_table(spark, sf, t) for t in tables_of(name)}
     return spark.sql(PROJECTIONS[name], **tables)
 
 
