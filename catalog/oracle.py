@@ -259,7 +259,7 @@ oracle("household_join", ["household_joined"], "SELECT * FROM household_joined")
 
 
 def consolidated(rows: str, attributes: dict[str, str], household: list[str]) -> str:
-    """Reference order of work: drop bad persons, then the latest known value of each column."""
+    """Bad persons are dropped first, the latest known value of each column is taken."""
     def latest(expression: str) -> str:
         return f"arg_max({expression}, extract_year) FILTER ({expression} IS NOT NULL)"
 
