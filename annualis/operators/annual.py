@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from annualis import codes
 from annualis.functions import row_total
 from annualis.operators.contributions import AUTONOMOUS, REGULAR
-from annualis.operators.episodes import DAYS, classify_episode, expand_to_years, monthly_days
+from annualis.operators.episodes import (
+    DAYS, classify_episode, expand_to_years, monthly_days, touching,
+)
 
 # In this order the join on them leaves rows sorted for the aggregate by person and year.
 FIRM_KEYS = ["person_id", "year", "firm_cc2"]
@@ -110,7 +112,9 @@ def annualise(episodes: DataFrame, contributions: DataFrame | None = None,
     firm code; its attributes are those of its first episode. Amounts are summed in cents and
     become euros once, at the end.
     """
-    flagged = classify_episode(episodes)
+    # the same filters on both uses of the episodes, so that a shuffle below them is reused
+    used = touching(episodes, first_year, last_year).filter(F.col("person_id").isNotNull())
+    flagged = classify_episode(used)
     attributes = [c for c in MAIN_JOB if c in flagged.columns]
     narrow = flagged.select(*EPISODE_KEYS, "entry_year", "exit_year", "rel_contract", *YEAR_FLAGS)
     years = monthly_days(expand_to_years(narrow, first_year, last_year))

@@ -37,16 +37,26 @@ def prepare_episodes(episodes: DataFrame, person: str = "person_id", firm: str =
     return unique.withColumns({"entry_year": date_year(entry), "exit_year": date_year(exit_)})
 
 
+def _span(first_year: int, last_year: int) -> tuple[Column, Column]:
+    return (F.greatest(F.col("entry_year").cast("int"), F.lit(first_year)),
+            F.least(F.col("exit_year").cast("int"), F.lit(last_year)))
+
+
+def touching(episodes: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """Episodes with a year within [first_year, last_year]."""
+    start, end = _span(first_year, last_year)
+    # greatest and least skip nulls
+    known = F.col("entry_year").isNotNull() & F.col("exit_year").isNotNull()
+    return episodes.filter((start <= end) & known)
+
+
 def expand_to_years(episodes: DataFrame, first_year: int = codes.FIRST_PANEL_YEAR,
                     last_year: int = codes.LAST_EXTRACT) -> DataFrame:
     """One row per calendar year an episode touches within [first_year, last_year]."""
-    start = F.greatest(F.col("entry_year").cast("int"), F.lit(first_year))
-    end = F.least(F.col("exit_year").cast("int"), F.lit(last_year))
-    # sequence() would count down when start > end, and greatest/least skip nulls
-    touching = episodes.filter((start <= end) & F.col("entry_year").isNotNull()
-                               & F.col("exit_year").isNotNull())
+    start, end = _span(first_year, last_year)
+    # without the filter sequence() would count down
     years = F.sequence(start.cast("smallint"), end.cast("smallint"))
-    return touching.select("*", F.explode(years).alias("year"))
+    return touching(episodes, first_year, last_year).select("*", F.explode(years).alias("year"))
 
 
 def monthly_days(episode_years: DataFrame, year: str = "year", entry: str = "entry_date",
