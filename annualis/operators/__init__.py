@@ -1,5 +1,7 @@
 from annualis.operators.annual import annualise, annual_days, firm_years, with_days_lags
-from annualis.operators.assemble import PANEL_COLUMNS, assemble_panel, panel_summary
+from annualis.operators.assemble import (
+    PANEL_COLUMNS, assemble_panel, panel_summary, row_counts,
+)
 from annualis.operators.attributes import (
     collapse_education, deflate, demographics_join, family_composition, geography,
     reclassify_contract,
@@ -23,5 +25,5 @@ __all__ = [
     "firm_panel", "firm_years", "geography", "income_by_firm", "join_household", "keep_top",
     "merge_contributions", "monthly_days", "panel_span", "panel_summary", "prepare_episodes",
     "reclassify_contract", "rectangularise", "restrict_to_cohort", "retirement_year",
-    "split_payments", "with_days_lags",
+    "row_counts", "split_payments", "with_days_lags",
 ]

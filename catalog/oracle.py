@@ -460,6 +460,9 @@ _ANY_LAGS = ", ".join(
 oracle("person_year_any", ["annual_any", "work_days"],
        f"SELECT d.* EXCLUDE (days_lag1, days_lag2, days_lag3), {_ANY_LAGS} FROM annual_any d")
 
+oracle("row_counts", ["clean"], """
+SELECT count(*) AS n_rows, count(DISTINCT person_id) AS n_entities FROM clean""")
+
 # Firms
 
 part("firm_rows", ["episodes"], """

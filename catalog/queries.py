@@ -379,6 +379,12 @@ def person_year_any(spark, sf):
                         per_key="max", flags="any", calendar_lags=True)
 
 
+@query
+def row_counts(spark, sf):
+    """Rows and persons of the cleaned episodes."""
+    return op.row_counts(clean_episodes(spark, sf))
+
+
 # Firms
 
 
