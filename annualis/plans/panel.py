@@ -61,8 +61,12 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
                 last: int = codes.LAST_EXTRACT, last_panel_year: int = codes.LAST_EXTRACT,
                 table: Table = _lazy, inkind: str = "twice", per_key: str = "sum",
                 flags: str = "first", calendar_lags: bool = False,
-                names: dict[str, str] | None = None) -> DataFrame:
-    """The panel from raw rows by source. ``table`` decides whether a step is materialised."""
+                names: dict[str, str] | None = None, salts: int = 16) -> DataFrame:
+    """The panel from raw rows by source. ``table`` decides whether a step is materialised.
+
+    ``salts`` is the number of sub-keys a person or an account is split into where raw facts
+    meet a lookup; on a big cluster raise it as long as the lookups stay small beside the facts.
+    """
 
     def persons():
         people = layouts.read_persons(_years(raw, "PERSONAL", first, last))
@@ -78,12 +82,14 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
         return table(1, "episodes_typed", typed_episodes)
 
     def episodes():
-        kept = restrict_to_cohort(all_episodes(), cohort, ["firm_cc2", "entry_date", "exit_date"])
+        kept = restrict_to_cohort(all_episodes(), cohort, ["firm_cc2", "entry_date", "exit_date"],
+                                  salts=salts)
         return prepare_episodes(kept)
 
     def contributions():
         rows = layouts.read_all_contributions(_years(raw, "COTIZA", first, last))
-        return monthly_maximum(restrict_to_cohort(rows, cohort, ["firm_cc2", "year"]))
+        return monthly_maximum(
+            restrict_to_cohort(rows, cohort, ["firm_cc2", "year"], salts=salts))
 
     def wide():
         return attach_contributions(
@@ -113,7 +119,7 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
             table(6, "pensions", lambda: retirement_year(
                 layouts.read_pensions(_years(raw, "PRESTAC", first, last)))),
             table(6, "firm_id_correction", lambda: firm_id_correction(all_episodes())),
-            inkind, calendar_lags, names)
+            inkind, calendar_lags, names, salts)
         if table is not _lazy:
             # tables that are results of their own
             table(1, "firms", lambda: firm_panel(all_episodes()))
