@@ -5,6 +5,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about SLICE_BYTES of text each (one row at least)."""
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
         if held and held + n > SLICE_BYTES:

@@ -8,7 +8,6 @@ Texts with equal fingerprints are then compared chunk by chunk.
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

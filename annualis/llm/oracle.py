@@ -10,20 +10,20 @@ ORACLE = {
     "op7_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
-                                       x -> x <> '') AS ws
+                                       lambda x: x <> '') AS ws
             FROM documents),
         windows AS (
-            SELECT doc_id, at, md5(array_to_string(ws[at:at + 49], ' ')) AS h
-            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS at FROM d WHERE len(ws) >= 50)),
+            SELECT doc_id, k, md5(array_to_string(ws[k:k + 49], ' ')) AS h
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS k FROM d WHERE len(ws) >= 50)),
         firsts AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
         gone AS (
-            SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS at
+            SELECT DISTINCT doc_id, unnest(range(k, k + 50)) AS k
             FROM windows JOIN firsts USING (h) WHERE least < doc_id),
-        words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS at FROM d),
+        words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS k FROM d),
         kept AS (
-            SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.at) AS text, count(*) AS n
-            FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.at = g.at GROUP BY w.doc_id)
+            SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.k) AS text, count(*) AS n
+            FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.k = g.k GROUP BY w.doc_id)
         SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
-               sha256(coalesce(k.text, '')) AS kept_sha256
-        FROM d LEFT JOIN kept k USING (doc_id)""",
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
 }
