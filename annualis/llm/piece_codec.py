@@ -174,8 +174,8 @@ class Viterbi:
         split = [self.pieces.words(t) for t in column]
         if len(self.known) > MAX_WORDS:
             self.known, self.older = {}, self.known
-        new = {w for words in split for w in words} - self.known.keys()
-        again = new & self.older.keys()
+        new = set().union(*split).difference(self.known)
+        again = {w for w in new if w in self.older}
         self.known.update((w, self.older[w]) for w in again)
         self.learn(new - again)
         get = self.known.__getitem__

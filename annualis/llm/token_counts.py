@@ -68,7 +68,7 @@ class PrefixCounter:
         split = [self.pieces.words(t) for t in column]
         if len(self.known) > self.max_words:
             self.known, self.older = {}, self.known
-        self.learn({w for words in split for w in words} - self.known.keys())
+        self.learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
         return [(words, list(accumulate(map(get, words)))) for words in split]
 

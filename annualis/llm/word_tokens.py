@@ -11,7 +11,7 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-MAX_WORDS = 400_000  # distinct words a worker remembers; results don't depend on it
+MAX_WORDS = 600_000  # distinct words a worker remembers; results don't depend on it
 
 _LOADED: dict[bytes, "WordTokens"] = {}
 _RUNS = re.compile(r"[a-z]+|[^a-z \n]+")
@@ -43,8 +43,8 @@ class WordTokens:
         if len(self.known) > MAX_WORDS:
             self.known, self.older = {}, self.known
         split = [self.words(t) for t in column]
-        new = {w for words in split for w in words} - self.known.keys()
-        again = new & self.older.keys()
+        new = set().union(*split).difference(self.known)
+        again = {w for w in new if w in self.older}
         self.known.update((w, self.older[w]) for w in again)
         fresh = sorted(new - again)
         if fresh:
