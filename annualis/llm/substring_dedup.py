@@ -23,6 +23,7 @@ WINDOW = 50
 GRAM = 8
 BLOCK = 2048  # windows of one row of a shard; blocks overlap by a window less a word
 SHARD_WORDS = 100_000  # a shard with more is split by document; its parts meet by window hashes
+LANES = 64
 MULTIPLIERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
 
 
@@ -171,7 +172,10 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, shard_words: int = S
     # Words by shard; a large one is split by document.
     sizes = (placed.groupBy("owner").agg(F.sum(F.col("w2") - F.col("w1") + GRAM).alias("words"))
              .select("owner", F.ceil(F.col("words") / shard_words).alias("parts")).filter("parts > 1"))
-    ranges = (placed.join(sizes, "owner", "left")
+    # The few split owners are repeated for each lane, so that their many rows go to many tasks.
+    lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
+    ranges = (placed.withColumn("lane", F.pmod(F.xxhash64("doc_id"), F.lit(LANES)).cast("int"))
+              .join(sizes.withColumn("lane", lanes), ["owner", "lane"], "left")
               .groupBy("doc_id", "th").agg(F.collect_set(F.struct(
                   "owner", "w1", "w2", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("ranges")))
     blocks = rows.join(ranges, ["doc_id", "th"]).mapInArrow(
