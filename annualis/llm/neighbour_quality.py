@@ -71,9 +71,12 @@ def weigh(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def fit_vectors(rows: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Neighbours:
-    """Latent space of labelled rows, by randomised subspace iteration."""
-    idf = (np.log((1 + len(rows)) / (1 + (rows[:, :TERMS] > 0).sum(axis=0))) + 0.2).astype(np.float32)
-    weights = weigh(rows, idf)
+    """Latent space of labelled rows (which are overwritten), by randomised subspace iteration."""
+    found = np.count_nonzero(rows[:, :TERMS], axis=0)
+    idf = (np.log((1 + len(rows)) / (1 + found)) + 0.2).astype(np.float32)
+    weights = rows  # the sample is weighed in place: the driver holds it once
+    for k in range(0, len(rows), 256):
+        weights[k:k + 256] = weigh(rows[k:k + 256], idf)
     width = min(dimensions + 8, *weights.shape) if len(rows) else 1
     basis = np.random.default_rng(1).standard_normal((weights.shape[1], width)).astype(np.float32)
     for _ in range(4 if len(rows) else 0):
@@ -81,9 +84,9 @@ def fit_vectors(rows: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIO
     if len(rows):
         _, _, turn = np.linalg.svd(weights @ basis, full_matrices=False)
         basis = basis @ turn[:dimensions].T
-    model = Neighbours(idf, basis.astype(np.float32), np.empty((0, basis.shape[1])), labels)
-    model.vectors = model.place(rows)
-    return model
+    basis = basis.astype(np.float32)
+    latent = weights @ basis
+    return Neighbours(idf, basis, latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9), labels)
 
 
 def held_out(doc_id) -> F.Column:
@@ -111,12 +114,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id
 
     rows = (texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")  # max_labelled narrow rows
             .mapInArrow(terms, "doc_id long, label int, terms binary").toArrow())
-    order = np.lexsort((np.array(rows["terms"].to_pylist(), dtype=object), rows["doc_id"].to_numpy()))
+    rows = rows.sort_by([("doc_id", "ascending"), ("terms", "ascending")])
     matrix = np.zeros((rows.num_rows, TERMS + REPEATS), dtype=np.float32)
-    sent = rows["terms"].to_pylist()
-    for r, k in enumerate(order):
-        _unpack(sent[k], matrix[r])
-    return fit_vectors(matrix, rows["label"].to_numpy()[order].astype(np.float64))
+    for r, sent in enumerate(rows["terms"]):
+        _unpack(sent.as_py(), matrix[r])
+    chosen = rows["label"].to_numpy().astype(np.float64)
+    del rows
+    return fit_vectors(matrix, chosen)
 
 
 def _packed(row: np.ndarray) -> bytes:
