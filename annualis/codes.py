@@ -35,29 +35,15 @@ CPI = {
 }
 CPI_BASE = 103.664
 
-# Region -> provinces.
-REGION_PROVINCES = {
-    1: [4, 11, 14, 18, 21, 23, 29, 41],
-    2: [22, 44, 50],
-    3: [33],
-    4: [7],
-    5: [35, 38],
-    6: [39],
-    7: [5, 9, 24, 34, 37, 40, 42, 47, 49],
-    8: [2, 13, 16, 19, 45],
-    9: [8, 17, 25, 43],
-    10: [3, 12, 46],
-    11: [6, 10],
-    12: [15, 27, 32, 36],
-    13: [28],
-    14: [30],
-    15: [31],
-    16: [1, 20, 48],
-    17: [26],
-    18: [51],
-    19: [52],
+# Province -> region.
+PROVINCE_REGION = {
+    1: 16, 2: 8, 3: 10, 4: 1, 5: 7, 6: 11, 7: 4, 8: 9, 9: 7, 10: 11,
+    11: 1, 12: 10, 13: 8, 14: 1, 15: 12, 16: 8, 17: 9, 18: 1, 19: 8, 20: 16,
+    21: 1, 22: 2, 23: 1, 24: 7, 25: 9, 26: 17, 27: 12, 28: 13, 29: 1, 30: 14,
+    31: 15, 32: 12, 33: 3, 34: 7, 35: 5, 36: 12, 37: 7, 38: 5, 39: 6, 40: 7,
+    41: 1, 42: 7, 43: 9, 44: 2, 45: 8, 46: 10, 47: 7, 48: 16, 49: 7, 50: 2,
+    51: 18, 52: 19,
 }
-PROVINCE_REGION = {p: region for region, ps in REGION_PROVINCES.items() for p in ps}
 
 # Contribution regimes, as inclusive ranges.
 WORK_REGIMES = [(111, 137), (140, 180), (611, 650), (811, 823), (840, 850), (911, 950)]

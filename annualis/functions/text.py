@@ -29,7 +29,7 @@ def strip(c: Column | str) -> Column:
 
 # Text that is a plain integer. Testing it first matters: a failed try_cast costs an exception
 # per value, some fifty times a successful one.
-INTEGER = "^[+-]?[0-9]{1,19}$"
+INTEGER = "^[+-]?0*[0-9]{1,19}$"  # leading zeros don't count
 
 
 def safe_int(c: Column | str, dtype: str = "bigint") -> Column:

@@ -109,10 +109,10 @@ def annualise(episodes: DataFrame, contributions: DataFrame | None = None,
     days and lags.
 
     The main job is the firm with the highest annual contribution, ties going to the smallest
-    firm code; its attributes are those of its first episode. Amounts are summed in cents and
+    firm code; its attributes are those of its first episode. An episode without a person belongs
+    to no person-year, as in the cohort join, and is left out. Amounts are summed in cents and
     become euros once, at the end.
     """
-    # the same filters on both uses of the episodes, so that a shuffle below them is reused
     used = touching(episodes, first_year, last_year).filter(F.col("person_id").isNotNull())
     flagged = classify_episode(used)
     attributes = [c for c in MAIN_JOB if c in flagged.columns]

@@ -99,12 +99,16 @@ def monthly_days(episode_years: DataFrame, year: str = "year", entry: str = "ent
 
 
 def classify_episode(df: DataFrame) -> DataFrame:
-    """Add the 1/0/null flags of an episode; a null code gives a null flag."""
+    """Add the 1/0/null flags of an episode; a null code, or a column that a source lacks, gives a
+    null flag."""
+    lacking = {"contribution_regime", "job_relationship", "firm_muni"} - set(df.columns)
+    whole, df = df.columns, df.withColumns({c: F.lit(None).cast("bigint") for c in sorted(lacking)})
     unemployed = F.expr(f"job_relationship IN {tuple(codes.UNEMPLOYED_RELATIONS)}")
-    return df.withColumns({
+    flagged = df.withColumns({
         "rel_contract": flag(in_ranges("contribution_regime", codes.WORK_REGIMES) & ~unemployed),
         "self_emp": flag(in_ranges("contribution_regime", codes.SELF_EMPLOYED_REGIMES)),
         "emp_hogar": flag(in_ranges("contribution_regime", codes.DOMESTIC_REGIMES)),
         "unemp_jr": flag(unemployed),
         "basque_navarra": flag(in_ranges("firm_muni", codes.FORAL_MUNICIPALITIES)),
     })
+    return flagged.drop(*(lacking - set(whole)))

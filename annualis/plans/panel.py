@@ -6,6 +6,7 @@ back, which cuts the lineage and lets a run resume; without one the same steps c
 single lazy plan.
 """
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ from annualis.operators import (
 from annualis.operators.contributions import monthly_maximum
 from annualis.operators.income import person_income, work_income
 from annualis.sources import layouts
-from annualis.sources.scan import scan_raw
-from annualis.sources.stages import has_stage, read_stage, write_stage, write_summary
+from annualis.sources.scan import scan_raw, superseded
+from annualis.sources.stages import has_stage, read_stage, same_options, write_stage, write_summary
 
 # Stage number -> its tables. Nothing reads the RESULTS_ONLY back; WIDE ones are large copies.
 STAGES = {
@@ -46,7 +47,8 @@ Table = Callable[[int, str, Callable[[], DataFrame]], DataFrame]
 
 def scan_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The raw scans of all sources below a folder of year folders."""
-    return {source: scan_raw(spark, root, source) for source in SOURCES}
+    skip = superseded(spark, root)
+    return {source: scan_raw(spark, root, source, skip=skip) for source in SOURCES}
 
 
 def _years(raw: dict[str, DataFrame], source: str, first: int, last: int) -> DataFrame:
@@ -58,7 +60,7 @@ def _lazy(stage: int, name: str, build: Callable[[], DataFrame]) -> DataFrame:
 
 
 def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
-                last: int = codes.LAST_EXTRACT, last_panel_year: int = codes.LAST_EXTRACT,
+                last: int = codes.LAST_EXTRACT, last_panel_year: int | None = None,
                 table: Table = _lazy, inkind: str = "twice", per_key: str = "sum",
                 flags: str = "first", calendar_lags: bool = False,
                 names: dict[str, str] | None = None, salts: int = 16) -> DataFrame:
@@ -66,7 +68,9 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
 
     ``salts`` is the number of sub-keys a person or an account is split into where raw facts
     meet a lookup; on a big cluster raise it as long as the lookups stay small beside the facts.
+    ``last_panel_year`` is the later one of ``last`` and the default extract, if it isn't given.
     """
+    last_panel_year = last_panel_year or max(last, codes.LAST_EXTRACT)
 
     def persons():
         people = layouts.read_persons(_years(raw, "PERSONAL", first, last))
@@ -126,8 +130,8 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
             table(6, "income_pension",
                   lambda: person_income(by_firm, "pension").drop("inkind_pension"))
             table(1, "individuals_full", lambda: rectangularise(people, last_panel_year))
-            table(2, "merged", wide)
-            table(3, "monthly_days", lambda: monthly_days(wide()))
+            merged = table(2, "merged", wide)
+            table(3, "monthly_days", lambda: monthly_days(merged if merged is not None else wide()))
         return out
 
     people = table(1, "persons", persons)
@@ -167,11 +171,15 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
     """Build and write every stage table, the panel (by year) and the summary.
 
     Stages before ``from_stage`` are read from ``out_root`` instead of computed (and computed
-    if missing). ``wide_tables`` also writes the rectangular person panel and the episode-year
+    if missing); they must come from a run with the same years and options. ``wide_tables`` also writes the rectangular person panel and the episode-year
     tables with monthly bases and days; nothing reads them back, so they are off by default.
     """
     names = {name for tables in STAGES.values() for name in tables}
     keep = names if wide_tables else names - WIDE
+    # names and inkind only shape the panel itself, which is always built anew
+    chosen = {k: v for k, v in options.items() if k not in ("names", "inkind", "salts")}
+    chosen = json.dumps({"first": first, "last": last, **chosen}, sort_keys=True)
+    same_options(spark, out_root, chosen, from_stage > 1)
     table = stage_tables(spark, out_root, from_stage, keep)
     panel = build_panel(scan_sources(spark, raw_root), first, last, table=table, **options)
     write_summary(panel_summary(panel), out_root)

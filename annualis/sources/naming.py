@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 SOURCES = ["AFILIAD", "CONVIVIR", "COTIZA", "DIVISION", "FISCAL", "PERSONAL", "PRESTAC"]
 
 _ANY = "|".join(SOURCES)
+OPEN = 9999  # regular names go on
 
 # File name patterns, as (first folder year, last folder year, pattern, source).
 # Group 1 is the source where none is given; the last group is the part (may be empty).
 # A pattern with the text {year} must repeat the folder year.
 NAME_PATTERNS = [
     # the regular name
-    (2004, 2024, rf"^[A-Z]+{{year}}({_ANY})(\d*)_CDF\.TXT$", None),
+    (2004, OPEN, rf"^[A-Z]+{{year}}({_ANY})(\d*)_CDF\.TXT$", None),
     # 2004: mainframe data set names, some doubled
     (2004, 2004, r"^EST\.LABT2004\.AFILANON\.FICHERO([13])\.TXT$", "AFILIAD"),
     (2004, 2004, r"^EST\.LABT2004\.AFILANON\.FICHERO(2)"
@@ -50,7 +51,7 @@ NAME_PATTERNS = [
     (2016, 2016, rf"^[A-Z]+{{year}}({_ANY})(\d*)_SDF\.(?i:TXT)$", None),
     (2020, 2021, r"(?i)^[A-Z]+{year}PERSONAL()\.TXT$", "PERSONAL"),
     # any spelling of the extension
-    (2009, 2024, rf"^[A-Z]+{{year}}({_ANY})(\d*)_CDF\.(?i:TXT)$", None),
+    (2009, OPEN, rf"^[A-Z]+{{year}}({_ANY})(\d*)_CDF\.(?i:TXT)$", None),
 ]
 
 
@@ -64,29 +65,37 @@ def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(?:/part-[^/]*)?$", 1)
 
 
+def _matches(path: Column) -> list[tuple[Column, Column]]:
+    """For every pattern, whether the path is of that spelling, and what it then is."""
+    year, name = folder_year(path), file_name(path)
+    # every pattern sees the folder year as the text {year}
+    subject = F.replace(name, year.cast("string"), F.lit("{year}"))
+    out = []
+    for first, last, pattern, source in NAME_PATTERNS:
+        regex = pattern.replace("{year}", r"\{year\}")
+        seen = subject if "{year}" in pattern else name
+        named = F.lit(source) if source else F.upper(F.regexp_extract(seen, regex, 1))
+        part = F.regexp_extract(seen, regex, 1 if source else 2).try_cast("int")
+        identity = F.struct(year.alias("year"), named.alias("source"), part.alias("part"))
+        out.append((year.between(first, last) & seen.rlike(regex), identity))
+    return out
+
+
+def spelling(path: Column) -> Column:
+    """Number of the first pattern that the path matches; the regular name comes first."""
+    found = F.lit(None).cast("int")
+    for k, (hit, _) in reversed(list(enumerate(_matches(path)))):
+        found = F.when(hit, k).otherwise(found)
+    return found
+
+
 def source_identity(path: Column) -> Column:
     """Struct (year, source, part) of a path; null for files that are not wanted.
 
     Files of another year left in a folder never match, since the year in a name has to be
     the folder's. ``part`` is null for sources that come in one piece.
     """
-    year, name = folder_year(path), file_name(path)
-    # every pattern sees the folder year as the text {year}
-    subject = F.replace(name, year.cast("string"), F.lit("{year}"))
     found = F.lit(None).cast("struct<year:int,source:string,part:int>")
-    for first, last, pattern, source in reversed(NAME_PATTERNS):
-        regex = pattern.replace("{year}", r"\{year\}")
-        if "{year}" not in pattern:
-            subject_of = name
-        else:
-            subject_of = subject
-        part_group = 1 if source else 2
-        identity = F.struct(
-            year.alias("year"),
-            (F.lit(source) if source else F.upper(F.regexp_extract(subject_of, regex, 1)))
-            .alias("source"),
-            F.regexp_extract(subject_of, regex, part_group).try_cast("int").alias("part"),
-        )
-        hit = year.between(first, last) & subject_of.rlike(regex)
+    for hit, identity in reversed(_matches(path)):
         found = F.when(hit, identity).otherwise(found)
     return found

@@ -176,7 +176,7 @@ SELECT extract_year, {trimmed('c0')} AS person_id, {number('c1', 'TINYINT')} AS
 oracle("source_names", ["raw_paths"], r"""
 SELECT o_orderkey, path, CAST(y AS INT) AS year, source,
        CASE WHEN source IN ('AFILIAD', 'COTIZA') THEN CAST(p AS INT) END AS part
-FROM (SELECT r.*, 2004 + r.o_orderkey % 21 AS y, 1 + o.o_custkey % 13 AS p,
+FROM (SELECT r.*, 2004 + r.o_orderkey % 24 AS y, 1 + o.o_custkey % 13 AS p,
              o.o_custkey % 10 = 0 AS stale, o.o_custkey % 14 AS k,
              CASE o.o_custkey % 14 WHEN 0 THEN 'AFILIAD' WHEN 1 THEN 'PERSONAL' WHEN 2 THEN 'COTIZA'
                WHEN 3 THEN 'AFILIAD' WHEN 4 THEN 'FISCAL' WHEN 5 THEN 'COTIZA' WHEN 6 THEN 'AFILIAD'
@@ -239,9 +239,9 @@ SELECT * FROM snapshots QUALIFY row_number() OVER (PARTITION BY extract_year, pe
   ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _SNAPSHOT_REST)}) = 1""")
 oracle("dedup_key", ["snapshots_one"], "SELECT * FROM snapshots_one")
 oracle("top_per_key", ["payments"], """
-SELECT person_id, year, payment_type, firm_id, wage_cents FROM payments WHERE payment_type IS NOT NULL
+SELECT person_id, year, payment_type, firm_id, wage_cents FROM payments
 QUALIFY row_number() OVER (PARTITION BY person_id, year
-                           ORDER BY wage_cents DESC, payment_type, firm_id) = 1""")
+                           ORDER BY wage_cents DESC, payment_type NULLS FIRST, firm_id NULLS FIRST) = 1""")
 oracle("set_difference", ["pensions", "payments"], """
 SELECT *, 'pension' AS only_in FROM (SELECT person_id, year FROM pensions EXCEPT SELECT person_id, year FROM payments)
 UNION ALL
@@ -621,8 +621,7 @@ oracle("deflate", ["moved"], deflated("(SELECT *, cents::DOUBLE / 100 AS wage FR
 
 
 def located(rows: str) -> str:
-    cases = " ".join(f"WHEN {listed('province', ps)} THEN {region}"
-                     for region, ps in codes.REGION_PROVINCES.items())
+    cases = " ".join(f"WHEN province = {p} THEN {region}" for p, region in codes.PROVINCE_REGION.items())
     return (f"SELECT *, CAST(CASE {cases} END AS BIGINT) AS comunidad "
             f"FROM (SELECT *, firm_muni // 1000 AS province FROM {rows})")
 

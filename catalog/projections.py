@@ -78,7 +78,9 @@ SELECT CAST(l.l_orderkey AS BIGINT) AS l_orderkey, CAST(l.l_linenumber AS INT) A
             WHEN 4 THEN ''
             WHEN 5 THEN concat('000', CAST(l.l_partkey AS STRING))
             WHEN 6 THEN lpad('0', CAST(1 + l.l_suppkey % 6 AS INT), '0')
-            ELSE CAST(CAST(l.l_partkey AS BIGINT) * 30000000 AS STRING) END AS code,
+            ELSE CASE WHEN l.l_linenumber % 3 = 0 THEN concat('000000000000000000000', CAST(l.l_partkey AS STRING))
+                 WHEN l.l_linenumber % 3 = 1 THEN concat('999999999999', CAST(l.l_partkey AS STRING), '00000000')
+                 ELSE CAST(CAST(l.l_partkey AS BIGINT) * 30000000 AS STRING) END END AS code,
        concat(CAST(1900 + l.l_partkey % 120 AS STRING), lpad(CAST(1 + l.l_suppkey % 12 AS STRING), 2, '0')) AS yyyymm
 FROM {lineitem} l""",
 }
@@ -226,9 +228,9 @@ FROM {{orders}} o""",
     # delivered file paths of all spellings
     "raw_paths": """
 SELECT CAST(o.o_orderkey AS BIGINT) AS o_orderkey,
-       concat('hdfs://store/raw/', CAST(2004 + o.o_orderkey % 21 AS STRING), '/', name_of.prefix,
+       concat('hdfs://store/raw/', CAST(2004 + o.o_orderkey % 24 AS STRING), '/', name_of.prefix,
               CASE WHEN name_of.with_year = 1
-                   THEN CAST(2004 + o.o_orderkey % 21 - CASE WHEN o.o_custkey % 10 = 0 THEN 1 ELSE 0 END AS STRING)
+                   THEN CAST(2004 + o.o_orderkey % 24 - CASE WHEN o.o_custkey % 10 = 0 THEN 1 ELSE 0 END AS STRING)
                    ELSE '' END,
               name_of.middle,
               CASE WHEN name_of.with_part = 1 THEN CAST(1 + o.o_custkey % 13 AS STRING) ELSE '' END,

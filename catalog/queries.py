@@ -3,7 +3,6 @@
 import tempfile
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +29,6 @@ from catalog.projections import PROJECTIONS, tables_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 MONTHS = range(1, 13)
-SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 EXTRACTS = range(2011, 2018)  # the years of the test tables, moved by 16
 CLEAN_KEYS = ["person_id", "entry_date", "exit_date", "firm_cc2"]
 
@@ -41,15 +39,8 @@ def query(f):
     return f
 
 
-@lru_cache(maxsize=64)
 def source_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A test table. A small one is a single row group, hence a single task: its rows are spread
-    over the cores by key. A table of many files is left as it is."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, SPREAD_BY[name])
-    return df
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def projection(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -71,13 +62,14 @@ def sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for written tables: the cluster's, or a temporary one in local mode only."""
+    """A new folder for written tables below the one that spark.checkpoint.dir names; where that is
+    unset (tests), a folder of this process is set for the session. What is written lives as long
+    as that folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return f"{folder.rstrip('/')}/annualis-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set")
-    return tempfile.mkdtemp(prefix="annualis-")
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="annualis-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/annualis-{uuid.uuid4().hex}"
 
 
 def snapshots(spark, sf):
@@ -234,7 +226,7 @@ def dedup_key(spark, sf):
 
 @query
 def top_per_key(spark, sf):
-    rows = projection(spark, sf, "payments").filter(F.col("payment_type").isNotNull()).select(
+    rows = projection(spark, sf, "payments").select(
         "person_id", "year", "payment_type", "firm_id", "wage_cents")
     return op.keep_top(rows, ["person_id", "year"],
                        [-F.col("wage_cents"), "payment_type", "firm_id"])

@@ -36,6 +36,8 @@ def test_text_typing(spark):
     got = [r[0] for r in df.select(safe_int("t", "int")).collect()]
     assert got == [34, 34, 34, None, None, None, 5, 123, None, None, None, None, -7]
     assert [r[0] for r in df.select(safe_int(F.col("t"), "int")).collect()] == got
+    df = spark.createDataFrame([("00000000000000000000123",), ("-" + "0" * 30 + "5",), ("9" * 20,)], "t string")
+    assert [r[0] for r in df.select(safe_int("t")).collect()] == [123, -5, None]
     df = spark.createDataFrame([("N34",), (" N 5 ",), ("NN1",), ("7",), (None,)], "t string")
     assert [r[0] for r in df.select(without_prefix("t")).collect()] == ["34", "5", "N1", "7", None]
     df = spark.createDataFrame([("0000",), (" 0012 ",), ("",), ("a0",), (None,)], "t string")

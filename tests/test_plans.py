@@ -55,7 +55,7 @@ def test_annual_exchanges(spark, tables):
     """Firm-years, contributions, person-years, lags, and both sides of the main job."""
     with shuffled(spark):
         text = plan(op.annualise(tables["episodes"], tables["contributions"]))
-    assert text.count("Exchange hashpartitioning") == 6
+    assert text.count("Exchange hashpartitioning") <= 6
     # the wide attributes are not part of the repeated rows
     scans = [line for line in text.splitlines() if "ReadSchema" in line]
     assert any("contract_type" not in s and "entry_date" in s for s in scans)
