@@ -116,7 +116,8 @@ def colliding(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """Keys of fingerprints under which two different texts were found. The least and the greatest
     chunk of a key and position are equal exactly if all texts agree there; both are aggregates,
     so a key with a third of all rows leaves each task as one row."""
-    found = with_fingerprint(docs.select("text")).join(repeated.select(*KEY), KEY, "left_semi")
+    marked = with_fingerprint(docs.select("text")).withColumn("mark", F.xxhash64(*KEY))
+    found = marked.join(repeated, "mark", "left_semi").drop("mark")
     chunks = found.mapInArrow(_to_compare, "f1 long, f2 long, n_bytes long, chunk_no long, chunk binary")
     return (chunks.groupBy(*KEY, "chunk_no")
             .agg(F.min("chunk").alias("least"), F.max("chunk").alias("greatest"))
@@ -134,8 +135,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = texts(docs, id_col, text_col)
     marks = written(with_fingerprint(rows.withColumn("text_sha256", F.sha2("text", 256)))
                     .select("doc_id", "text_sha256", *KEY), "exact-marks")
-    repeated = written(marks.groupBy(*KEY).count().filter("count > 1 AND n_bytes > 0").select(*KEY),
-                       "exact-repeated")
+    # One long a fingerprint: a chance match only means a text is compared without need.
+    repeated = written(marks.groupBy(*KEY).count().filter("count > 1 AND n_bytes > 0")
+                       .select(F.xxhash64(*KEY).alias("mark")), "exact-repeated")
     split = written(colliding(rows, repeated), "exact-split").withColumn("split", F.lit(True))
     # Where a fingerprint holds different texts, the class is told by the digest too.
     marks = (marks.join(split, KEY, "left")
