@@ -15,7 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Whole texts travel to Python: few rows a batch, so that long ones fit.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
@@ -51,6 +51,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+_MEMORIES: list[dict] = []
+
+
+def memory(kept: dict) -> dict:
+    """A dict in which a module of a Python worker keeps things between tasks."""
+    _MEMORIES.append(kept)
+    return kept
+
+
+def forget() -> None:
+    """Empties what other operators left in this Python worker, which Spark uses again."""
+    for kept in _MEMORIES:
+        kept.clear()
+
+
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about SLICE_BYTES of text each (one row at least)."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)

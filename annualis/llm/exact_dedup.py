@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import texts, written
+from annualis.llm.common import forget, texts, written
 
 CHUNK = 4096  # 256 * 2**31 * 4096 = 2**51: sums are exact in float64
 MODULI = np.array([2147483647, 2147483629], dtype=np.int64)
@@ -77,6 +77,7 @@ def fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def with_fingerprint(docs: DataFrame) -> DataFrame:
     """Adds f1, f2, n_bytes to (doc_id, text, ...)."""
     def add(batches):
+        forget()
         for batch in batches:
             hashes, n_bytes = fingerprints(batch.column("text"))
             yield pa.RecordBatch.from_arrays(

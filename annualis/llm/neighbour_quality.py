@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import slices, texts
+from annualis.llm.common import forget, slices, texts
 
 TERMS = 4096
 TERM_BITS = 12
@@ -103,6 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
 
     def terms(batches):
+        forget()
         for batch in batches:
             for part in slices(batch):
                 rows = counts(part.column("text").to_pylist())
@@ -147,6 +148,7 @@ def score(docs: DataFrame, model: Neighbours, threshold: float = THRESHOLD, neig
     out = [c for c in rows.columns if c != "text"]
 
     def run(batches):
+        forget()
         for batch in batches:
             for part in slices(batch):
                 found = shared.value.score(counts(part.column("text").to_pylist()), neighbours)
@@ -164,6 +166,7 @@ def keep_good(docs: DataFrame, model: Neighbours, threshold: float = THRESHOLD,
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_labelled x dimensions
 
     def run(batches):
+        forget()
         for batch in batches:
             for part in slices(batch, text_col):
                 column = [t or "" for t in part.column(text_col).to_pylist()]

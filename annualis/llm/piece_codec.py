@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import slices, texts
+from annualis.llm.common import memory, slices, texts
 from annualis.llm.pieces import SPACE, UNKNOWN, Pieces, load
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -188,14 +188,13 @@ class Viterbi:
         return text[1:] if text.startswith(" ") else text
 
 
-_CODERS: dict[int, Viterbi] = {}
+_CODERS: dict[bytes, Viterbi] = memory({})
 
 
 def coder(model: bytes) -> Viterbi:
-    pieces = load(model)
-    if id(pieces) not in _CODERS:
-        _CODERS[id(pieces)] = Viterbi(pieces)
-    return _CODERS[id(pieces)]
+    if model not in _CODERS:
+        _CODERS[model] = Viterbi(load(model))
+    return _CODERS[model]
 
 
 def _lists(encoded: list[bytes]) -> pa.Array:

@@ -13,12 +13,14 @@ import re
 import numpy as np
 import sentencepiece
 
+from annualis.llm.common import memory
+
 SPACE = "▁"
 UNKNOWN = 1 << 21  # ids from here on stand for a character (its code point added) without a piece
 LONG_WORD = 24
 MAX_PAIRS = 1 << 20
 
-_LOADED: dict[bytes, "Pieces"] = {}
+_LOADED: dict[bytes, "Pieces"] = memory({})
 
 
 def load(model: bytes) -> "Pieces":

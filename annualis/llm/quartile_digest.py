@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annualis.llm.common import slices, texts, written
+from annualis.llm.common import forget, slices, texts, written
 
 BUCKETS = 256
 TRIPLETS = [(0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 2, 4), (0, 3, 4)]  # offsets in the window
@@ -111,6 +111,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.desc("doc_id"), "text")
 
     def stream(batches):
+        forget()
         part = TaskContext.get().partitionId()
         held_ids, held_texts, held_digest = [], [], np.empty((0, BUCKETS + 1), dtype=np.int16)
         edges = []

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annualis.llm.common import hex64, slices, texts, written
+from annualis.llm.common import forget, hex64, slices, texts, written
 from annualis.llm.components import components
 
 BITS = 64
@@ -55,6 +55,7 @@ def majority(hashes: list[list[int]]) -> np.ndarray:
 def simhash(docs: DataFrame, size: int = 3) -> DataFrame:
     """(doc_id, fp) of (doc_id, text)."""
     def add(batches):
+        forget()
         for batch in batches:
             for part in slices(batch):
                 hashes = [shingle_hashes(t, size) for t in part.column("text").to_pylist()]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annualis.llm.automaton import Automaton
-from annualis.llm.common import slices, texts, written
+from annualis.llm.common import forget, slices, texts, written
 
 WINDOW = 50
 GRAM = 8
@@ -54,6 +54,7 @@ def anchors(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.nd
 
 def _anchor_rows(window: int):
     def run(batches):
+        forget()
         for batch in batches:
             for part in slices(batch):
                 ids, keys, columns = [], [], []
@@ -90,6 +91,7 @@ def _merged(ranges: list[dict]) -> Iterator[tuple[int, int, int, int]]:
 def _block_rows(window: int):
     """Rows of shards: the words of stretches of windows, in blocks."""
     def run(batches):
+        forget()
         for batch in batches:
             for part in slices(batch):
                 out = []
@@ -142,6 +144,7 @@ def _match_rows(window: int):
     names = ["doc_id", "th", "w1", "w2", "h1", "h2"]
 
     def run(batches):
+        forget()
         group, shard = None, None
         for batch in batches:
             out = []
@@ -194,6 +197,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, shard_words: int = S
 
 def _kept_rows(window: int):
     def run(batches):
+        forget()
         for batch in batches:
             for part in slices(batch):
                 out = []

@@ -11,7 +11,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from annualis.llm.common import slices, texts
+from annualis.llm.common import memory, slices, texts
 from annualis.llm.pieces import LONG_WORD, Pieces, load
 
 MAX_WORDS = 400_000  # distinct words a worker remembers; results don't depend on it
@@ -94,12 +94,13 @@ class PrefixCounter:
         return max(0, chars - 1)  # without the space in front
 
 
-_COUNTERS: dict[int, PrefixCounter] = {}
+_COUNTERS: dict[bytes, PrefixCounter] = memory({})
 
 
 def counter(model: bytes) -> PrefixCounter:
-    pieces = load(model)
-    return _COUNTERS.setdefault(id(pieces), PrefixCounter(pieces))
+    if model not in _COUNTERS:
+        _COUNTERS[model] = PrefixCounter(load(model))
+    return _COUNTERS[model]
 
 
 def count_tokens(docs: DataFrame, model: bytes, limit: int = 4096, id_col: str = "doc_id",

@@ -11,9 +11,11 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
+from annualis.llm.common import memory
+
 MAX_WORDS = 400_000  # distinct words a worker remembers; results don't depend on it
 
-_LOADED: dict[bytes, "WordTokens"] = {}
+_LOADED: dict[bytes, "WordTokens"] = memory({})
 _RUNS = re.compile(r"[a-z]+|[^a-z \n]+")
 
 
