@@ -1,8 +1,9 @@
 """Token ids by a `tokenizers` file, with the ids of distinct words kept between texts.
 
-Spaces and line feeds separate words for the pre-tokenizer, so words encode independently. In plain
-ASCII texts without apostrophes and special tokens, runs of letters and of other characters do too,
-and their case is folded anyway; that makes far fewer distinct words.
+Spaces and line feeds separate words for the pre-tokenizer, so words encode independently. In Latin-1
+texts without apostrophes and special tokens, runs of letters and of other characters do too, and
+their case is folded anyway; that makes far fewer distinct words. In other texts that holds for the
+words of plain ASCII; a word with other characters stays whole and as it is, as they may compose.
 """
 
 import hashlib
@@ -16,7 +17,9 @@ from annualis.llm.common import memory
 MAX_WORDS = 400_000  # distinct words a worker remembers; results don't depend on it
 
 _LOADED: dict[bytes, "WordTokens"] = memory({})
-_RUNS = re.compile(r"[a-z]+|[^a-z \n]+")
+_LETTERS = "a-zªµºß-öø-ÿ"  # small letters of Latin-1
+_RUNS = re.compile(rf"[{_LETTERS}]+|[^{_LETTERS} \n]+")
+_WORDS = re.compile(r"(?<![^ \n])[^ \n]*[^\x00-&(-\x7f][^ \n]*|[A-Za-z]+|[^A-Za-z \n]+")  # whole with ' or beyond ASCII
 
 
 def load(model: bytes) -> "WordTokens":
@@ -36,9 +39,13 @@ class WordTokens:
 
     @staticmethod
     def words(text: str) -> list[str]:
-        if text.isascii() and "'" not in text and "<|" not in text:
-            return _RUNS.findall(text.lower())
-        return [w for w in text.replace("\n", " ").split(" ") if w]
+        if "<|" in text:  # special tokens have a case
+            return [w for w in text.replace("\n", " ").split(" ") if w]
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return _WORDS.findall(text)
+        return (_WORDS if "'" in text else _RUNS).findall(text.lower())
 
     def encode(self, column: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""

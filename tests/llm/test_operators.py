@@ -21,6 +21,7 @@ from annualis.llm.piece_codec import Viterbi, decode, encode, round_trip
 from annualis.llm.pieces import load
 from annualis.llm.queries import QUERIES, tokenizer
 from annualis.llm.token_counts import PrefixCounter, count_tokens, prefix_counts
+from annualis.llm.word_tokens import load as load_words
 
 from .conftest import LONG, SF
 
@@ -224,11 +225,16 @@ def test_packing_documents(llm, docs):
     assert sum(2048 - n for n in total if n & (n - 1)) == 0
 
 
-@given(st.lists(TEXT, max_size=6))
-@settings(max_examples=60, deadline=None)
+MIXED = st.lists(st.one_of(
+    st.characters(max_codepoint=0x17F, exclude_categories=["Cs"]),
+    st.sampled_from(["a", "à", "ÀH", "ß", "Σ", "'S", " ", "\n", "\t!", "e\u0301", "H\u0331", "\u0130", "\u00a0", "\u0085",
+                     "½", "µ", "<|", "<|ENDOFTEXT|>", "日"])), max_size=30).map("".join)
+
+
+@given(st.lists(st.one_of(TEXT, MIXED), max_size=6))
+@settings(max_examples=300, deadline=None)
 def test_word_ids_equal_the_library(texts):
-    from annualis.llm.word_tokens import WordTokens
-    kept = WordTokens(WORDS)
+    kept = load_words(WORDS)
     want = [e.ids for e in kept.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(e, "<u4").tolist() for e in kept.encode(texts)] == want
 
