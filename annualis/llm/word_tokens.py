@@ -7,6 +7,7 @@ words of plain ASCII; a word with other characters stays whole and as it is, as
 """
 
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -33,6 +34,7 @@ class WordTokens:
     """For lower-casing BPE models whose pre-tokenizer drops white space and splits at letter runs."""
 
     def __init__(self, model: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core; threads would only wait
         self.tokenizer = Tokenizer.from_buffer(model)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
