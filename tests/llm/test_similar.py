@@ -1,0 +1,62 @@
+import random
+from itertools import combinations
+
+import pytest
+
+import corpus_pipeline as cp
+from annualis.llm import similar as sm
+from annualis.llm.simhash import shingle_hashes
+
+from .conftest import SF
+from .test_operators import all_texts
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def table(llm, rows):
+    return llm.createDataFrame([(i, t, None, None, None) for i, t in rows], COLUMNS)
+
+
+def words(seed, n):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def changed(ws, at):
+    return " ".join("new" + w if k in at else w for k, w in enumerate(ws))
+
+
+def brute_groups(texts):
+    """Root (smallest id) of every id, by comparing all pairs."""
+    sets = {i: set(shingle_hashes(t, 5)) for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in combinations(sorted(texts), 2):
+        x, y = sets[a], sets[b]
+        if x == y or 5 * len(x & y) >= 4 * len(x | y):
+            hi, lo = max(find(a), find(b)), min(find(a), find(b))
+            root[hi] = lo
+    return {i: find(i) for i in texts}
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_near_stage_finds_every_similar_pair(llm, sf):
+    docs = llm.read.parquet(f"{sf}/documents.parquet")
+    want = brute_groups(all_texts(docs))
+    got = all_texts(cp.near(llm, docs, sf))
+    assert set(got) == {i for i, r in want.items() if i == r}
+
+
+def test_near_copies_of_many_words_and_a_long_list(llm):
+    """Copies too far apart for a radius of fingerprints, a chain, and a common passage."""
+    base, passage = words(1, 300), " ".join(words(2, 40))
+    texts = {k: changed(base, {(7 * k + 31 * j) % 300 for j in range(k % 14)}) for k in range(120)}
+    texts |= {1000 + k: passage + " " + " ".join(words(100 + k, 30 + k)) for k in range(80)}
+    chain = words(3, 200)
+    texts |= {2000 + k: " ".join(chain[10 * k:] + words(500 + k, 10 * k)) for k in range(8)}
+    got = all_texts(cp.near(llm, table(llm, texts.items()), SF))
+    assert set(got) == {i for i, r in brute_groups(texts).items() if i == r}
