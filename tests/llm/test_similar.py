@@ -60,3 +60,14 @@ def test_near_copies_of_many_words_and_a_long_list(llm):
     texts |= {2000 + k: " ".join(chain[10 * k:] + words(500 + k, 10 * k)) for k in range(8)}
     got = all_texts(cp.near(llm, table(llm, texts.items()), SF))
     assert set(got) == {i for i, r in brute_groups(texts).items() if i == r}
+
+
+def test_near_copies_go_by_id_and_text(llm):
+    """Unrelated texts under the id, or the null id, of a near copy stay."""
+    base, other = words(1, 100), words(9, 100)
+    copy, far = changed(base, {50}), " ".join(words(8, 60))
+    rows = [(1, " ".join(base)), (7, copy), (7, far), (None, changed(base, {99})), (None, " ".join(words(7, 60))),
+            (None, " ".join(other)), (None, changed(other, {99}))]
+    got = [(r["doc_id"], r["text"]) for r in cp.near(llm, table(llm, rows), SF).collect()]
+    assert set(got[:]) > {rows[0], rows[2], rows[4]} and len(got) == 4
+    assert len(set(got) & {rows[5], rows[6]}) == 1
