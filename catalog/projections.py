@@ -99,7 +99,9 @@ def _fields(fields: dict[int, str], width: int) -> str:
     return ",\n       ".join(f"{fields.get(i, chr(39) * 2)} AS c{i}" for i in range(width))
 
 
-_HOUSEHOLD = {0: _PERSON, 1: "concat(CAST(1940 + o.o_custkey % 60 AS STRING), '01')", 2: "'1'"}
+# every sixth person has another identifier there, which matches no person
+_HOUSEHOLD = {0: f"CASE WHEN o.o_custkey % 6 = 0 THEN concat(' H', lpad(CAST(o.o_custkey AS STRING), 9, '0'), ' ') "
+                 f"ELSE {_PERSON} END", 1: "concat(CAST(1940 + o.o_custkey % 60 AS STRING), '01')", 2: "'1'"}
 for _i in range(2, 11):
     _HOUSEHOLD[2 * _i - 1] = (
         f"CASE WHEN (o.o_orderkey + {_i}) % 3 = 0 THEN '' ELSE "
@@ -190,7 +192,7 @@ FROM {{orders}} o""",
     "raw_households": f"""
 SELECT {_EXTRACT} AS extract_year,
        {_fields(_HOUSEHOLD, 21)}
-FROM {{orders}} o WHERE o.o_custkey % 6 <> 0""",
+FROM {{orders}} o""",
     # every second line item comes in two copies that differ in one field
     "raw_episodes": f"""
 SELECT CAST(CASE WHEN l.l_linenumber % 3 = 0 THEN year(o.o_orderdate) + 16 ELSE 2017 END AS SMALLINT) AS extract_year,
