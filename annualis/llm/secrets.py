@@ -18,12 +18,14 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"  # of runs of any length, those of 32 charac
 KINDS = ("assign", "access", "hex")
 
 IDENTIFIER = (r"""(?<![A-Za-z0-9_])(?i:user(?:name)?|login|client_?id|key_?id|account)["']?\x20*[:=]\x20*["']?"""
-              r"[A-Za-z0-9_.@-]{3,64}")
-TOKEN = (r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,128}"
-         r"(?![A-Za-z0-9+/_=-])")
-ENDPOINT = (r"(?i)(?<![A-Za-z0-9])(?:https?|ftp|s3|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\s\"'<>]{1,512}"
+              r"[A-Za-z0-9_.@-]{3,}+")
+# A dotted run with a part of 20 characters or more that has a digit and a letter.
+LONG_PART = r"(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20}"
+TOKEN = (r"(?<![A-Za-z0-9+/_=.-])(?=(?:(?!" + LONG_PART + r")[A-Za-z0-9+/_=-]++\.)*+" + LONG_PART + ")"
+         r"[A-Za-z0-9+/_=-]++(?:\.[A-Za-z0-9+/_=-]++)*+")
+ENDPOINT = (r"(?i)(?<![A-Za-z0-9])(?:https?|ftp|s3|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[^\s\"'<>]++"
             r"|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{1,5})?(?![0-9.])")
-SCOPE = 400  # code points between the starts of parts that belong together
+SCOPE = 400  # code points between the end of a part and the start of one that belongs to it
 ROLES = {"assign": "secret", "hex": "secret", "access": "identifier", "weak_secret": "secret",
          "weak_identifier": "identifier", "endpoint": "endpoint"}
 NEEDS = {"weak_secret": ("identifier", "endpoint"), "weak_identifier": ("secret",)}
@@ -61,18 +63,28 @@ def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def linked(found_: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """doc_id, th and added: the weak parts with a complementary part within scope of their start."""
+    """doc_id, th and added: the weak parts with a complementary part at most scope away.
+
+    Of the parts that start no later than scope after a part's end, one reaches to scope before its
+    start if and only if the largest end does. So a part is an event at its start, and a weak one
+    also asks at its end + scope for the largest end so far.
+    """
     role = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+    at = F.col("p.start").cast("long"), F.col("p.end").cast("long") + scope
+    events = F.array(F.struct(at[0].alias("at"), F.lit(False).alias("asks")), F.struct(at[1].alias("at"), F.lit(True).alias("asks")))
     rows = (found_.filter("size(weak) > 0").dropDuplicates(["doc_id", "th"])
             .select("doc_id", "th", F.explode(F.concat("base", "weak", "endpoint")).alias("p"))
-            .select("doc_id", "th", "p", F.col("p.start").cast("long").alias("start"), role[F.col("p.kind")].alias("role")))
-    near = Window.partitionBy("doc_id", "th").orderBy("start").rangeBetween(-scope, scope)
+            .select("doc_id", "th", "p", role[F.col("p.kind")].alias("role"), F.explode(events).alias("e"))
+            .filter(~F.col("e.asks") | F.col("p.kind").isin(*NEEDS)))
+    so_far = (Window.partitionBy("doc_id", "th").orderBy("e.at", "e.asks")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for r in sorted(set(ROLES.values())):
-        rows = rows.withColumn(f"near_{r}", F.max((F.col("role") == r).cast("int")).over(near))
+        rows = rows.withColumn(f"end_{r}", F.max(F.when(~F.col("e.asks") & (F.col("role") == r), F.col("p.end"))).over(so_far))
     complete = F.lit(False)
     for kind, needs in NEEDS.items():
-        complete = complete | ((F.col("p.kind") == kind) & (F.greatest(F.lit(0), *[F.col(f"near_{n}") for n in needs]) == 1))
-    return rows.filter(complete).groupBy("doc_id", "th").agg(F.collect_list("p").alias("added"))
+        last = F.greatest(F.lit(-scope - 1), *[F.col(f"end_{n}") for n in needs])
+        complete = complete | ((F.col("p.kind") == kind) & (last >= F.col("p.start") - scope))
+    return rows.filter(F.col("e.asks") & complete).groupBy("doc_id", "th").agg(F.collect_list("p").alias("added"))
 
 
 def scan_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
