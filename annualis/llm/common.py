@@ -43,12 +43,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage, outlives executors, and its
     size is known to the optimizer. Its life is that of the shared folder."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _MEMORIES: list[dict] = []

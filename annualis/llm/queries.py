@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from annualis.llm.common import configure
 from annualis.llm.exact_dedup import exact_dedup
+from annualis.llm.importance import resample
 from annualis.llm.neighbour_quality import fit, score
 from annualis.llm.packing import pack_documents
+from annualis.llm.phrases import collocations
 from annualis.llm.piece_codec import round_trip
 from annualis.llm.pii import find_pii, report as pii_report
 from annualis.llm.quartile_digest import edited_likeness
@@ -86,3 +88,13 @@ def op9_secrets(spark, sf):
 @query
 def op10_simhash(spark, sf):
     return near_dedup(table(spark, sf))
+
+
+@query
+def op11_phrases(spark, sf):
+    return collocations(table(spark, sf))
+
+
+@query
+def op12_resampling(spark, sf):
+    return resample(table(spark, sf), table(spark, sf, "benchmark"))
