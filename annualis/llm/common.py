@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,6 +68,27 @@ def forget() -> None:
         kept.clear()
 
 
+_TABLES: dict[str, np.ndarray] = memory({})
+
+
+class Table:
+    """A byte array that travels with the tasks: compressed, and unpacked once in a Python worker.
+    destroy() it when what read it is written."""
+
+    def __init__(self, spark: SparkSession, values: np.ndarray):
+        self.key = uuid.uuid4().hex
+        self.sent = spark.sparkContext.broadcast(zlib.compress(values.astype(np.uint8).tobytes(), 1))
+
+    def get(self) -> np.ndarray:
+        if self.key not in _TABLES:
+            forget()
+            _TABLES[self.key] = np.frombuffer(zlib.decompress(self.sent.value), np.uint8)
+        return _TABLES[self.key]
+
+    def destroy(self) -> None:
+        self.sent.destroy()
+
+
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about SLICE_BYTES of text each (one row at least)."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annualis.llm.common import forget, written
+from annualis.llm.common import Table, written
 
 LONGEST = 5
 THRESHOLD = 100
@@ -139,12 +139,12 @@ def counted(found: list[bytes], begins: np.ndarray, times: np.ndarray, lang: str
         alive[places] = when[ids]
 
 
-def scan(shard: DataFrame, times, step: int, shards: int, longest: int) -> DataFrame:
+def scan(shard: DataFrame, times: Table, step: int, shards: int, longest: int) -> DataFrame:
     """(lang, size, phrase, n) of one scan of a shard (lang, text)."""
     schema = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.binary()), ("n", pa.int64())])
 
     def flush(lang, found, begins):
-        for size, names, n in counted(found, np.array(begins, dtype=bool), times.value, lang, step, shards, longest):
+        for size, names, n in counted(found, np.array(begins, dtype=bool), times.get(), lang, step, shards, longest):
             for k in range(0, len(n), 1 << 16):
                 part = names.slice(k, 1 << 16)
                 yield pa.RecordBatch.from_arrays(
@@ -152,7 +152,7 @@ def scan(shard: DataFrame, times, step: int, shards: int, longest: int) -> DataF
                      pa.array(n[k:k + (1 << 16)])], schema=schema)
 
     def run(batches):
-        forget()
+        times.get()
         held: dict[str, tuple[list, list]] = {}
         size = 0
         for batch in batches:
@@ -207,7 +207,7 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
     while step < last + shards:
         if step + 1 >= NEVER:
             raise RuntimeError("too many scans")
-        shared = spark.sparkContext.broadcast(times)  # filter_slots bytes
+        shared = Table(spark, times)  # filter_slots bytes at most
         scans.append(written(scan(path.filter(F.col("shard") == step % shards).select("lang", "text"),
                                   shared, step, shards, longest), "phrases-scan"))
         # What is active now was counted in the last `shards` scans only.
@@ -218,7 +218,7 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
             times = times.copy()
             times[found] = step + 1
             last = step + 1
-        shared.unpersist()
+        shared.destroy()
         step += 1
     totals = merged(scans)
     return totals.filter((F.col("size") == 1) | (F.col("n") >= threshold))
