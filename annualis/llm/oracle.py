@@ -93,6 +93,26 @@ ORACLE = {
             FROM scored WHERE n_features >= 20)
         SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END AS rank
         FROM scored s LEFT JOIN places USING (doc_id)""",
+    "op13_ngram_jaccard": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[k:k + 4], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS k FROM d WHERE len(ws) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m
+            FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+            WHERE 100 * m >= 80 * (s.n + t.n - m)),
+        reached AS (
+            SELECT doc_id AS x, doc_id AS y FROM d
+            UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+        SELECT x AS doc_id, coalesce(max(n), 0) AS n_shingles, min(y) AS component_id
+        FROM reached LEFT JOIN sizes ON doc_id = x GROUP BY x""",
 }
 
 # The words of a text, written out where a query says words(text).

@@ -10,6 +10,7 @@ from annualis.llm.common import configure
 from annualis.llm.exact_dedup import exact_dedup
 from annualis.llm.importance import resample
 from annualis.llm.neighbour_quality import fit, score
+from annualis.llm.ngram_jaccard import jaccard_components
 from annualis.llm.packing import pack_documents
 from annualis.llm.phrases import collocations
 from annualis.llm.piece_codec import round_trip
@@ -98,3 +99,8 @@ def op11_phrases(spark, sf):
 @query
 def op12_resampling(spark, sf):
     return resample(table(spark, sf), table(spark, sf, "benchmark"))
+
+
+@query
+def op13_ngram_jaccard(spark, sf):
+    return jaccard_components(table(spark, sf))
