@@ -53,15 +53,18 @@ def majority(hashes: list[list[int]]) -> np.ndarray:
 
 
 def simhash(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp) of (doc_id, text)."""
+    """All columns of docs but text, and fp."""
+    keep = [c for c in docs.columns if c != "text"]
+
     def add(batches):
         forget()
         for batch in batches:
             for part in slices(batch):
                 hashes = [shingle_hashes(t, size) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(majority(hashes).view(np.int64))], ["doc_id", "fp"])
-    return docs.mapInArrow(add, "doc_id long, fp long")
+                    [*(part.column(c) for c in keep), pa.array(majority(hashes).view(np.int64))], [*keep, "fp"])
+    schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes if c != "text")
+    return docs.mapInArrow(add, f"{schema}, fp long")
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -109,6 +112,17 @@ def links(distinct: DataFrame, radius: int = RADIUS, pair_bucket: int = PAIR_BUC
     return pairs.union(stars.filter("a <> b")).distinct()
 
 
+def groups(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """marks, a written table with doc_id and fp, with the root of each row's component and
+    component_id, the component's smallest doc_id (null last)."""
+    distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(written(links(distinct.select("fp"), radius), "simhash-links"))
+    named = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
+             .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marks.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                size: int = 3, radius: int = RADIUS) -> DataFrame:
     """Components of texts whose fingerprints differ in `radius` bits at most.
@@ -119,11 +133,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     doc_id is never the smallest; a component with no other has a null component_id.
     """
     marks = written(simhash(texts(docs, id_col, text_col), size), "simhash-marks")
-    distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(written(links(distinct.select("fp"), radius), "simhash-links"))
-    named = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
-             .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "component_id")
-    return (marks.join(classes, "fp")
-            .select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id"))
+    return groups(marks, radius).select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+                radius: int = RADIUS) -> DataFrame:
+    """doc_id and text_sha256 (of the text; null is empty) of all rows of docs but one in each component.
+
+    The row with the smallest doc_id stays (null last, then by the text's hash); repeated rows are
+    one. An empty table has none.
+    """
+    rows = texts(docs, id_col, text_col).withColumn("text_sha256", F.sha2("text", 256))
+    found = written(groups(written(simhash(rows, size), "simhash-marks"), radius), "simhash-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_sha256")
+    kept = found.groupBy("root").agg(F.min(order).alias("least"))
+    return (found.join(kept, "root").filter(~order.eqNullSafe(F.col("least")))
+            .select("doc_id", "text_sha256").distinct())

@@ -1,7 +1,10 @@
-import re
-import zlib
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from annualis.llm.common import written
 from annualis.llm.neighbour_quality import fit, score
 
 from .conftest import SF
@@ -42,19 +45,47 @@ def test_stages_against_brute_force(llm, docs):
 
 
 def test_stages_on_odd_and_empty_rows(llm, odd, none):
+    """All stages, quality too, also where documents have a column named like one of the operators'."""
     for source in (odd, none):
-        docs = source.select("doc_id", "text", "lang", "source", "n_chars")
-        for name, stage in cp.STAGES[1:]:
+        docs = source.select("doc_id", "text", "lang", "source", "n_chars").withColumn("text_sha256", F.lit("own"))
+        for name, stage in cp.STAGES:
             out = stage(llm, docs, SF)
             if name != "packing":
                 assert out.columns == docs.columns
-                docs = out
-            assert out.count() >= (source is odd)
+                assert out.filter("text_sha256 <> 'own' OR text_sha256 IS NULL").count() == 0
+                docs = docs if name == "quality" else out
+            assert out.count() >= (source is odd and name != "quality")
     exact = cp.exact(llm, odd.select("doc_id", "text", "lang", "source", "n_chars"), SF)
     assert exact.filter("doc_id = 2").count() == 1  # repeated rows leave one
+    assert exact.filter("doc_id = 1").count() == 0 and exact.filter("doc_id = 4").count() == 1
+
+
+def table(llm, rows):
+    return llm.createDataFrame([(i, t, None, None, None) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_near_copies_go_by_id_and_text(llm):
+    """Unrelated texts under the id, or the null id, of a near copy stay."""
+    def text(seed):
+        rng = random.Random(seed)
+        return [f"w{rng.randrange(10**6)}" for _ in range(900)]
+    base, other = text(1), text(2)
+    copy = " ".join(base[:-1])
+    assert bin(brute_simhash(copy) ^ brute_simhash(" ".join(base))).count("1") <= 2
+    rows = [(1, " ".join(base)), (7, copy), (7, " ".join(text(3))), (None, copy + "  "), (None, " ".join(text(4))),
+            (None, " ".join(other)), (None, " ".join(other) + " ")]
+    got = [(r["doc_id"], r["text"]) for r in cp.near(llm, table(llm, rows), SF).collect()]
+    assert set(got) > {rows[0], rows[2], rows[4]} and len(got) == 4
+    assert len(set(got) & {rows[5], rows[6]}) == 1
 
 
 def test_run(llm):
+    """The last stage's rows, as the stages give them one after the other."""
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in cp.STAGES:
+        docs = written(stage(llm, docs, SF), "test-stage")
+    want = Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in docs.collect())
     rows = cp.run(llm, SF).collect()
-    assert rows and all(zlib.crc32(b"") != r["ids_crc32"] for r in rows)
-    assert re.match("quality", cp.STAGES[0][0])
+    assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want and rows
+    assert [n for n, _ in cp.STAGES] == ["quality", "exact_dedup", "near_dedup", "pii", "packing"]
