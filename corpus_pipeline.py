@@ -13,7 +13,7 @@ from annualis.llm.neighbour_quality import fit, keep_good
 from annualis.llm.packing import pack_documents
 from annualis.llm.pii import redact
 from annualis.llm.queries import table, tokenizer
-from annualis.llm.similar import similar
+from annualis.llm.simhash import near_copies
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,39 +22,43 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id and text are in gone (doc_id, text_sha256); all columns of
+    docs stay, whatever their names."""
+    rows = _keyed(docs)
+    same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_sha256"] == gone["text_sha256"])
+    return rows.join(gone.hint("merge"), same, "left_anti")  # gone grows with the copies
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays; of rows that share it too, one."""
+    """Of equal texts, the row with the largest doc_id stays; of rows that share it too, one. Null
+    counts as empty and as the smallest doc_id."""
     configure(spark)
-    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    classes = written(exact_dedup(hashed), "pipeline-classes")
+    classes = written(exact_dedup(docs), "pipeline-classes")
     key = ["doc_id", "text_sha256"]
     dropped = classes.filter("NOT kept").select(*key).distinct()
     tied = written(classes.filter("kept").groupBy(*key).count().filter("count > 1").select(*key), "pipeline-tied")
-    marked = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-
-    def same(other):
-        return marked["doc_id"].eqNullSafe(other["doc_id"]) & (marked["text_sha256"] == other["text_sha256"])
     gone = written(dropped.union(tied), "pipeline-dropped")
-    single = marked.join(gone.hint("merge"), same(gone), "left_anti")  # gone grows with the copies
-    one = marked.join(tied, same(tied), "left_semi").dropDuplicates(key)
-    return single.union(one).drop("text_sha256")
+    rows = _keyed(docs)
+    same = rows["doc_id"].eqNullSafe(tied["doc_id"]) & (rows["text_sha256"] == tied["text_sha256"])
+    one = rows.join(tied, same, "left_semi").dropDuplicates(key)
+    return _without(docs, gone).union(one).select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts with a five-word Jaccard index of 0.8 or more, the one with the smallest doc_id stays.
+    """Of texts that the SimHash near-dedup operator groups, with the shingle length and distance of its
+    query, the one with the smallest doc_id stays.
 
     A null doc_id comes after all others; of several texts under the smallest one, the text with the
     smallest hash stays. Rows are dropped by doc_id and text, so others under the same id stay.
     """
     configure(spark)
-    rows = written(similar(docs), "pipeline-similar")
-    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_sha256")
-    kept = rows.groupBy("root").agg(F.min(order).alias("least"))
-    groups = rows.join(kept, "root").filter(~order.eqNullSafe(F.col("least")))
-    gone = written(groups.select("doc_id", "text_sha256").distinct(), "pipeline-near")
-    marked = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-    same = marked["doc_id"].eqNullSafe(gone["doc_id"]) & (marked["text_sha256"] == gone["text_sha256"])
-    return marked.join(gone.hint("merge"), same, "left_anti").drop("text_sha256")
+    return _without(docs, written(near_copies(docs), "pipeline-near")).select("row.*")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,7 +79,11 @@ ORACLE_SQL = None  # the stages are trained, hash or tokenise; they are tested a
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, from documents to packed sequences."""
+    """All stages, from documents to packed sequences: the rows of the last one.
+
+    Rows with null or empty texts, null or repeated ids and further columns go through every stage as
+    its function says; an empty table gives no sequences.
+    """
     docs = table(spark, sf_dir)
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
