@@ -1,10 +1,13 @@
 """Documents linked by the Jaccard index of their word n-grams: an exact prefix-filter join.
 
 All sets follow one order of the n-grams, rare ones first, by how many documents hold them. Two sets
-of a and b members with an index of NUM/DEN or more share need(a, b) members, so they share one of
+of a and b members with an index of NUM/DEN or more share need(a + b) members, so they share one of
 the first members of each, and a pair meets in the list of its first shared n-gram. Filters on the
 way to a pair:
 
+* sieve: in any order, so also in that of the hashes, a set and its partner share several of the
+  first third of their members. Sets that don't find as many there that any other set holds drop out
+  before anything else is counted.
 * rarity: an n-gram of one document only is shared with nobody, and comes first; a set that has
   more of these than a partner may lack drops out before anything is joined.
 * length: sizes that differ too much cannot be similar.
@@ -32,6 +35,7 @@ from annualis.llm.simhash import shingle_hashes
 
 SIZE = 5
 NUM, DEN = 4, 5  # the least Jaccard index, 0.8
+LEAD = 10  # the sieve looks for a tenth of a set
 FILTER_BITS = 1 << 27
 FLUSH = 1 << 20  # n-grams that a task holds before it sends their counts
 PIVOTS = 6  # rounds of pivots at most, while there would be many pairs
@@ -55,6 +59,17 @@ def spare(n: int) -> int:
     return n - -(-n * NUM // DEN)
 
 
+def lead(n: int) -> int:
+    """Shared members that the sieve looks for in a set of n."""
+    return -(-n // LEAD)
+
+
+def sieve(found: np.ndarray) -> np.ndarray:
+    """The members, by hash, among which a set and any partner share lead() of the smaller: it may lack
+    spare() of its members, so the first lead() that they share come within as many more."""
+    return found[:spare(len(found)) + lead(len(found))]
+
+
 def ngram_set(text: str, size: int = SIZE) -> np.ndarray:
     """The different n-gram hashes of a text, in ascending order; fewer words are one n-gram."""
     return np.unique(np.array(shingle_hashes(text, size), dtype=np.uint64))
@@ -75,9 +90,9 @@ def maybe(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
 
 
-def document_counts(docs: DataFrame, size: int) -> DataFrame:
-    """(h, c) of n-grams that more than one set holds, by exact counts over all documents. Copies
-    that one task meets count once; the counts only put the n-grams in order."""
+def sieve_counts(docs: DataFrame, size: int) -> DataFrame:
+    """(h, c) of n-grams that more than one set has in its sieve, over all documents. Copies that one
+    task meets count once."""
     def run(batches):
         forget()
         seen: set[bytes] = set()
@@ -98,8 +113,8 @@ def document_counts(docs: DataFrame, size: int) -> DataFrame:
                     if len(seen) >= 1 << 16:
                         seen.clear()
                     seen.add(mark)
-                    held.append(found)
-                    total += len(found)
+                    held.append(sieve(found))
+                    total += len(held[-1])
                     if total >= FLUSH:
                         yield from flush()
                         held, total = [], 0
@@ -124,15 +139,14 @@ def bit_table(found: DataFrame, bits: int) -> np.ndarray:
 
 
 def marked(docs: DataFrame, repeated: Table, size: int) -> DataFrame:
-    """doc_id, n (members of the set), digest, and the members that may be repeated where they are
-    enough for a partner."""
+    """doc_id, n (members of the set), digest, and the members where the sieve leaves the set."""
     def run(batches):
         table = repeated.get()
         for batch in batches:
             for part in slices(batch):
                 found = [ngram_set(t, size) for t in part.column("text").to_pylist()]
-                kept = [s[maybe(table, s)] if len(s) else s for s in found]
-                kept = [k if len(k) >= len(s) - spare(len(s)) else k[:0] for k, s in zip(kept, found)]
+                kept = [s if len(s) and maybe(table, sieve(s)).sum() >= lead(len(s) - spare(len(s))) else s[:0]
+                        for s in found]
                 ends = np.cumsum([0, *map(len, kept)]).astype(np.int32)
                 flat = np.concatenate([np.empty(0, np.uint64), *kept]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -142,16 +156,18 @@ def marked(docs: DataFrame, repeated: Table, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, hashes array<long>")
 
 
-def ordered(classes: DataFrame, counts: DataFrame) -> DataFrame:
-    """(node, n, members): the repeated members of each set that may have a partner, rare ones first.
+def ordered(classes: DataFrame) -> DataFrame:
+    """(node, n, members): the repeated members of each set that may have a partner, rare ones first, by
+    exact counts over all sets that the sieve left.
 
     A member is one number: the logarithm of its count above the leading bits of its hash.
     """
     level = F.least(F.floor(F.log2("c") * 3), F.lit((1 << (63 - LEVEL_BITS)) - 1)).cast("long")
     member = F.shiftleft(level, LEVEL_BITS) + F.shiftrightunsigned("h", LEVEL_SHIFT)
     posts = classes.filter("size(hashes) > 0").select("node", "n", F.explode("hashes").alias("h"))
+    counts = posts.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
     return (posts.join(counts, "h").groupBy("node", "n").agg(F.array_sort(F.collect_list(member)).alias("members"))
-            .filter(F.col("n") - F.size("members") <= F.col("n") - F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9))))
+            .filter(F.size("members") >= F.ceil(F.col("n") * NUM / F.lit(float(DEN)) - F.lit(1e-9))))
 
 
 def postings(sets: DataFrame) -> DataFrame:
@@ -262,14 +278,14 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, filter_bits: int = FIL
     the smallest; a component with no other has a null component_id. Further columns are not read.
     """
     rows = texts(docs, id_col, text_col)
-    counts = written(document_counts(rows, size), "jaccard-counts")
+    counts = written(sieve_counts(rows, size), "jaccard-counts")
     repeated = Table(docs.sparkSession, bit_table(counts, filter_bits))  # filter_bits at most
     marks = written(marked(rows, repeated, size).withColumn("row", F.monotonically_increasing_id()), "jaccard-marks")
     repeated.destroy()
     classes = written(marks.filter("n > 0").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("least"), F.first("n").alias("n"),
         F.first("hashes").alias("hashes"), F.count("*").alias("rows")), "jaccard-classes")
-    sets = written(ordered(classes, counts), "jaccard-sets")
+    sets = written(ordered(classes), "jaccard-sets")
     roots = links(written(postings(sets), "jaccard-lists"), sets)
     named = classes.join(roots, "node", "left").select("digest", "least", "rows", F.coalesce("root", "node").alias("root"))
     parts = named.groupBy("root").agg(F.min("least").alias("component_id"))

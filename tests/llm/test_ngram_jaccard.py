@@ -90,9 +90,9 @@ def test_a_line_in_every_text_gives_no_pairs(llm):
     line = " ".join(words(5, 12))
     texts = {k: f"{line} a{k} b{k}" for k in range(600)} | {k: f"x{k} y{k} {line}" for k in range(600, 700)}
     docs = table(llm, texts).selectExpr("doc_id", "text")
-    counts = written(nj.document_counts(docs, 5), "test-counts")
+    counts = written(nj.sieve_counts(docs, 5), "test-counts")
     marks = nj.marked(docs, Table(llm, nj.bit_table(counts, 1 << 20)), 5).selectExpr("doc_id AS node", "n", "hashes")
-    posts = nj.postings(nj.ordered(marks, counts))
+    posts = nj.postings(nj.ordered(marks))
     assert posts.count() == 0
     assert found(nj.jaccard_components(docs)) == {k: (10, k) for k in texts}
     texts = {k: f"{line} a{k}" for k in range(300)}  # one word of their own: all pairs are similar
@@ -129,6 +129,20 @@ def test_bounds(two):
         assert nj.similar(len(x), len(y), x, y) == (5 * shared >= 4 * (len(x) + len(y) - shared))
 
 
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=60), st.integers(0, 12), st.integers(0, 12), st.randoms())
+@settings(max_examples=300, deadline=None)
+def test_the_sieve_keeps_similar_sets(members, fewer, more, rng):
+    """A pair of the least index shares enough members within both sieves."""
+    hashes = {k: rng.getrandbits(64) for k in range(100)}
+    x = {hashes[k] for k in members}
+    y = set(sorted(x, key=lambda h: rng.random())[fewer:]) | {hashes[k] for k in range(80, 80 + more)}
+    if y and 5 * len(x & y) >= 4 * len(x | y):
+        a, b = (np.array(sorted(s), dtype=np.uint64) for s in (x, y))
+        both = set(nj.sieve(a).tolist()) & set(nj.sieve(b).tolist())
+        for s in (a, b):
+            assert len(both) >= nj.lead(len(s) - nj.spare(len(s)))
+
+
 def test_odd_rows(llm, odd, none):
     got = nj.jaccard_components(odd)
     assert got.columns == ["doc_id", "n_shingles", "component_id"] and got.count() == odd.count()
