@@ -2,15 +2,21 @@
 
 The documents lie in SHARDS shards that are scanned in turn, over and over. All lengths are counted
 in the same scans: a phrase becomes active at the first shard border at which both subphrases that
-are one word shorter have reached the threshold, and is then counted in each of the next SHARDS
-scans, one full cycle, so its count is exact. Words are active from the start.
+are one word shorter have reached the threshold's share of a shard, and is then counted in each of
+the next SHARDS scans, one full cycle. A phrase that reaches the threshold in its cycle has the share
+in one of its shards at least, so none is missed, and no sums over shards need to be kept. Words are
+active from the start. A last cycle counts the phrases that reached their share by their words, where
+the scans before it tell them apart by hash, and the threshold is applied to these exact counts.
 
-Which phrases reached the threshold, and at which border, stands in a table of FILTER_SLOTS bytes
+Which phrases reached their share, and at which border, stands in a table of FILTER_SLOTS bytes
 that travels with the tasks: a phrase's slots hold the border at which they were first set, and are
 never changed again. So the border at which a phrase becomes active is a fixed function of its
 words, which every task finds on its own, and nothing else is broadcast. Phrases that share slots by
-chance may make others active too early; they are counted in full like all others and fail the
-threshold in the end. The counts themselves are ordinary aggregates over all scans.
+chance may make others active too early; these are counted like all others and fail the threshold in
+the end.
+
+Texts are split into words once: a block holds the words of many texts of a language as numbers
+within its own dictionary.
 """
 
 from collections.abc import Iterator
@@ -22,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annualis.llm.common import Table, written
+from annualis.llm.common import Table, forget, written
 
 LONGEST = 5
 THRESHOLD = 100
@@ -31,7 +37,10 @@ COVER = 100  # percent of a phrase's occurrences within one longer phrase from w
 SHARDS = 4
 LANES = 256
 FILTER_SLOTS = 1 << 24
-SECTION = 1 << 22  # bytes of text that are counted at a time
+SECTION = 1 << 20  # bytes of a long text that are split into words at a time
+BLOCK_WORDS = 1 << 17
+HELD = 1 << 21  # hashes that a task holds before it sends their counts
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 NEVER = 255
 
 END = b"."
@@ -50,18 +59,6 @@ def extended(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return total ^ (total >> np.uint64(32))
 
 
-def phrase_hashes(phrases: list[bytes], lang: str) -> np.ndarray:
-    """Hashes of space-joined phrases of a language, as the scans make them."""
-    out = np.empty(len(phrases), dtype=np.uint64)
-    for k, p in enumerate(phrases):
-        hashes = word_hashes(p.split(b" "))
-        total = hashes[:1]
-        for h in hashes[1:]:
-            total = extended(total, h)
-        out[k] = total[0]
-    return salted(out, lang)
-
-
 def salted(hashes: np.ndarray, lang: str) -> np.ndarray:
     return hashes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 7))
 
@@ -94,141 +91,209 @@ def tokens(text: str, longest: int = LONGEST, section: int = SECTION) -> Iterato
         held = found[n:]
 
 
-def _encoded(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    coded = values.dictionary_encode()
-    return coded.indices.to_numpy(False).astype(np.int64), coded.dictionary
+BLOCK = "lang string, words binary, ids binary, skip binary"
 
 
-def counted(found: list[bytes], begins: np.ndarray, times: np.ndarray, lang: str, step: int, shards: int,
-            longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, counts) of the active phrases of a list of tokens. begins: whether a phrase
-    may begin at a token."""
-    at, words = _encoded(pa.array(found, pa.binary()))
-    plain = words.to_pylist()
-    hashes = word_hashes(plain)
-    end = np.array([w == END for w in plain])
-    if step < shards:  # words are active from the start
-        n = np.bincount(at[begins], minlength=len(plain))
-        some = (n > 0) & ~end
-        yield 1, words.filter(pa.array(some)), n[some]
-    keys, names, whole = at, words, hashes
-    when = np.where(end, NEVER, reached(times, salted(hashes, lang)))
-    alive = when[at]
-    for length in range(2, longest + 1):
-        # Where both subphrases have reached the threshold; a border is no number that counts as one.
-        alive = np.maximum(alive[:-1], alive[1:])
-        places = np.flatnonzero(alive != NEVER)
-        if not len(places):
-            return
-        joined = keys[places] * len(plain) + at[places + length - 1]
-        ids, firsts = _encoded(pa.array(joined))
-        firsts = firsts.to_numpy(False)
-        prefix, last = firsts // len(plain), firsts % len(plain)
-        since = np.empty(len(firsts), dtype=np.int64)
-        since[ids] = alive[places]
-        whole = extended(whole[prefix], hashes[last])
-        names = pc.binary_join_element_wise(names.take(pa.array(prefix)), words.take(pa.array(last)), b" ")
-        n = np.bincount(ids, weights=begins[places], minlength=len(firsts)).astype(np.int64)
-        active = (n > 0) & (step < since + shards)
-        if active.any():
-            yield length, names.filter(pa.array(active)), n[active]
-        when = reached(times, salted(whole, lang))
-        keys = np.full(len(alive), -1)
-        keys[places] = ids
-        alive = np.full(len(alive), NEVER)
-        alive[places] = when[ids]
-
-
-def scan(shard: DataFrame, times: Table, step: int, shards: int, longest: int) -> DataFrame:
-    """(lang, size, phrase, n) of one scan of a shard (lang, text)."""
-    schema = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.binary()), ("n", pa.int64())])
-
-    def flush(lang, found, begins):
-        for size, names, n in counted(found, np.array(begins, dtype=bool), times.get(), lang, step, shards, longest):
-            for k in range(0, len(n), 1 << 16):
-                part = names.slice(k, 1 << 16)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part)), pa.array([size] * len(part), pa.int8()), part,
-                     pa.array(n[k:k + (1 << 16)])], schema=schema)
+def blocks(docs: DataFrame, longest: int) -> DataFrame:
+    """(lang, words, ids, skip) of (lang, text): the different words of some texts, the texts as their
+    numbers with END marks, and where in them no phrase begins."""
+    def flush(lang: str, found: list[bytes], skip: list[int]) -> pa.RecordBatch:
+        coded = pa.array(found, pa.binary()).dictionary_encode()
+        ids = coded.indices.to_numpy(False)
+        kind = "<u2" if len(coded.dictionary) <= 1 << 16 else "<u4"
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang]), pa.array([b" ".join(coded.dictionary.to_pylist())], pa.binary()),
+             pa.array([ids.astype(kind).tobytes()], pa.binary()),
+             pa.array([np.array(skip, "<u4").tobytes()], pa.binary())], ["lang", "words", "ids", "skip"])
 
     def run(batches):
-        times.get()
+        forget()
         held: dict[str, tuple[list, list]] = {}
         size = 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 for found, n in tokens(text, longest):
-                    words, begins = held.setdefault(lang, ([], []))
+                    words, skip = held.setdefault(lang, ([], []))
+                    skip += range(len(words) + n, len(words) + len(found))
                     words += found
                     words.append(END)
-                    begins += [True] * n + [False] * (len(found) - n + 1)
                     size += len(found)
-                    if size > SECTION // 8:
+                    if size > BLOCK_WORDS:
                         for key in sorted(held):
-                            yield from flush(key, *held[key])
+                            yield flush(key, *held[key])
                         held, size = {}, 0
         for key in sorted(held):
-            yield from flush(key, *held[key])
-    return (shard.mapInArrow(run, "lang string, size tinyint, phrase binary, n long")
+            yield flush(key, *held[key])
+    return docs.mapInArrow(run, BLOCK)
+
+
+class Block:
+    """A block's words, their hashes, the texts as numbers, and where phrases may begin."""
+
+    def __init__(self, lang: str, words: bytes, ids: bytes, skip: bytes):
+        self.lang, self.words = lang, words.split(b" ")
+        self.ids = np.frombuffer(ids, "<u2" if len(self.words) <= 1 << 16 else "<u4").astype(np.int64)
+        self.hashes = word_hashes(self.words)
+        self.is_end = np.array([w == END for w in self.words])
+        self.begins = np.ones(len(self.ids), dtype=bool)
+        self.begins[np.frombuffer(skip, "<u4")] = False
+
+    def when(self, times: np.ndarray) -> np.ndarray:
+        """The border at which each place's word had reached its share; NEVER for END marks."""
+        return np.where(self.is_end, NEVER, reached(times, salted(self.hashes, self.lang)))[self.ids]
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[Block]:
+    for row in zip(*(c.to_pylist() for c in batch.columns)):
+        yield Block(*row)
+
+
+def active_hashes(block: Block, times: np.ndarray, step: int, shards: int, longest: int) -> Iterator[np.ndarray]:
+    """Hashes of the phrases that are active in a scan, one for each occurrence."""
+    at = block.hashes[block.ids]
+    if step < shards:  # words are active from the start
+        yield salted(at[block.begins & ~block.is_end[block.ids]], block.lang)
+    places, whole, when = np.arange(len(at)), at, block.when(times)
+    for length in range(2, longest + 1):
+        # Phrases go on where the one at the next place has reached its share too.
+        since = np.full(len(at) + 1, NEVER, dtype=np.uint8)
+        since[places] = when
+        since = np.maximum(since[places], since[places + 1])
+        alive = since != NEVER
+        places, whole, since = places[alive], whole[alive], since[alive]
+        if not len(places):
+            return
+        whole = extended(whole, at[places + length - 1])
+        found = salted(whole, block.lang)
+        counted = (step < since.astype(np.int64) + shards) & block.begins[places]
+        if counted.any():
+            yield found[counted]
+        when = reached(times, found)
+
+
+def scan(shard: DataFrame, times: Table, step: int, shards: int, longest: int, share: int) -> DataFrame:
+    """(h, n) of the active phrases that have their share in a shard of blocks."""
+    def flush(held):
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        for k in range(0, len(h), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(h[k:k + (1 << 16)].view(np.int64)), pa.array(n[k:k + (1 << 16)])],
+                                             ["h", "n"])
+
+    def run(batches):
+        table = times.get()
+        held, size = [], 0
+        for batch in batches:
+            for block in _blocks(batch):
+                for found in active_hashes(block, table, step, shards, longest):
+                    held.append(found)
+                    size += len(found)
+                if size > HELD:
+                    yield from flush(held)
+                    held, size = [], 0
+        if held:
+            yield from flush(held)
+    return shard.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= share)
+
+
+def _encoded(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(False).astype(np.int64), coded.dictionary
+
+
+def counted(block: Block, times: np.ndarray, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(length, phrases, counts) of the phrases of a block that have reached their share, told apart by
+    their words."""
+    words = pa.array(block.words, pa.binary())
+    keys, names, whole = block.ids, words, block.hashes
+    places, when = np.arange(len(keys)), reached(times, salted(whole, block.lang))
+    when[block.is_end] = NEVER
+    for length in range(1, longest + 1):
+        if length > 1:
+            here = np.full(len(block.ids) + 1, NEVER, dtype=np.uint8)
+            here[places] = when[keys]
+            alive = np.maximum(here[places], here[places + 1]) != NEVER
+            places = places[alive]
+            if not len(places):
+                return
+            keys, firsts = _encoded(pa.array(keys[alive] * len(words) + block.ids[places + length - 1]))
+            firsts = firsts.to_numpy(False)
+            prefix, last = firsts // len(words), firsts % len(words)
+            whole = extended(whole[prefix], block.hashes[last])
+            names = pc.binary_join_element_wise(names.take(pa.array(prefix)), words.take(pa.array(last)), b" ")
+            when = reached(times, salted(whole, block.lang))
+        n = np.bincount(keys[block.begins[places]], minlength=len(names))
+        wanted = (n > 0) & (when != NEVER)
+        if wanted.any():
+            yield length, names.filter(pa.array(wanted)), n[wanted]
+
+
+def exact_counts(found: DataFrame, times: Table, longest: int) -> DataFrame:
+    """(lang, size, phrase, n) of the phrases that have reached their share, and of all words as one row a
+    language, of size 0."""
+    schema = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.binary()), ("n", pa.int64())])
+
+    def run(batches):
+        table = times.get()
+        for batch in batches:
+            for block in _blocks(batch):
+                total = int((block.begins & ~block.is_end[block.ids]).sum())
+                parts = [(0, pa.array([b""], pa.binary()), np.array([total]))]
+                for size, names, n in [*parts, *counted(block, table, longest)]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block.lang] * len(n)), pa.array([size] * len(n), pa.int8()), names,
+                         pa.array(n, pa.int64())], schema=schema)
+    return (found.mapInArrow(run, "lang string, size tinyint, phrase binary, n long")
             .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")))
 
 
-def new_slots(frequent: DataFrame, size: int) -> np.ndarray:
-    """The slots of phrases (lang, phrase), ascending; the driver gets a bitmap of at most `size` bits."""
+def new_slots(found: DataFrame, size: int) -> np.ndarray:
+    """The slots of a column h of hashes, ascending; the driver gets a bitmap of at most `size` bits."""
     def run(batches):
         for batch in batches:
-            langs = batch.column("lang").to_numpy(False)
-            names = batch.column("phrase").to_pylist()
-            for lang in set(langs):
-                mine = [p for p, x in zip(names, langs) if x == lang]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.unique(slots(phrase_hashes(mine, lang), size)))], ["slot"])
-    bits = (frequent.select("lang", "phrase").mapInArrow(run, "slot long")
-            .select((F.col("slot") + 1).alias("slot"))  # Spark's bitmaps count from one
-            .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+            at = slots(batch.column("h").to_numpy(False).view(np.uint64), size)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(at) + 1)], ["slot"])  # Spark counts from one
+    bits = (found.select("h").mapInArrow(run, "slot long").groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect())
-    found = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little"))
-             + (r["bucket"] - 1) * 32768 for r in bits]
-    return np.sort(np.concatenate([np.empty(0, np.int64), *found]))
+    places = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little"))
+              + (r["bucket"] - 1) * 32768 for r in bits]
+    return np.sort(np.concatenate([np.empty(0, np.int64), *places]))
 
 
 def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS,
                   filter_slots: int = FILTER_SLOTS, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, size, phrase, n): all words with their counts, and all phrases of up to `longest` words
-    with `threshold` occurrences or more (others may come with them)."""
+    """(lang, size, phrase, n): the words and phrases of up to `longest` words with `threshold`
+    occurrences or more, and each language's number of words as size 0."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"))
-    path = written(rows, "phrases-shards", partition_by="shard")
-    times = np.full(filter_slots, NEVER, dtype=np.uint8)
-    scans: list[DataFrame] = []
-    step, last = 0, 0
-    while step < last + shards:
-        if step + 1 >= NEVER:
-            raise RuntimeError("too many scans")
-        shared = Table(spark, times)  # filter_slots bytes at most
-        scans.append(written(scan(path.filter(F.col("shard") == step % shards).select("lang", "text"),
-                                  shared, step, shards, longest), "phrases-scan"))
-        # What is active now was counted in the last `shards` scans only.
-        recent = merged(scans[-shards:]).filter((F.col("n") >= threshold) & (F.col("size") < longest))
-        found = new_slots(recent, filter_slots)
-        found = found[times[found] == NEVER]
-        if len(found):
-            times = times.copy()
-            times[found] = step + 1
-            last = step + 1
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    turn = F.monotonically_increasing_id() + F.spark_partition_id()  # blocks of a task, and tasks, in turn
+    found = written(blocks(rows, longest).withColumn("shard", F.pmod(turn, F.lit(shards))), "phrases-blocks",
+                    partition_by="shard").select("lang", "words", "ids", "skip", "shard")
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, "8")  # a block is large
+    try:
+        times = np.full(filter_slots, NEVER, dtype=np.uint8)
+        step, last = 0, 0
+        while step < last + shards:
+            if step + 1 >= NEVER:
+                raise RuntimeError("too many scans")
+            shared = Table(spark, times)  # filter_slots bytes at most
+            shard = found.filter(F.col("shard") == step % shards).drop("shard")
+            new = new_slots(written(scan(shard, shared, step, shards, longest, -(-threshold // shards)), "phrases-scan"),
+                            filter_slots)
+            shared.destroy()
+            new = new[times[new] == NEVER]
+            step += 1
+            if len(new):
+                times = times.copy()
+                times[new] = last = step
+        shared = Table(spark, times)
+        counts = written(exact_counts(found.drop("shard"), shared, longest)
+                         .filter((F.col("size") == 0) | (F.col("n") >= threshold)), "phrases-counts")
         shared.destroy()
-        step += 1
-    totals = merged(scans)
-    return totals.filter((F.col("size") == 1) | (F.col("n") >= threshold))
-
-
-def merged(scans: list[DataFrame]) -> DataFrame:
-    rows = scans[0]
-    for s in scans[1:]:
-        rows = rows.union(s)
-    return rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        return counts
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
 
 
 def _part(first: int | Column, size: Column) -> Column:
@@ -238,8 +303,8 @@ def _part(first: int | Column, size: Column) -> Column:
 def scored(counts: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, cover: int = COVER) -> DataFrame:
     """lang, phrase, a, l, r, n, score of all candidates that no longer one covers, from phrase_counts."""
     counts = counts.select("lang", "size", F.col("phrase").cast("string").alias("phrase"), F.col("n").alias("f"))
-    words = counts.filter("size = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = written(counts.filter(F.col("f") >= threshold), "phrases-frequent")
+    words = counts.filter("size = 0").select("lang", F.col("f").alias("n"))
+    frequent = counts.filter((F.col("f") >= threshold) & (F.col("size") > 0))
     found = frequent.filter("size > 1").withColumn("words", F.split("phrase", " "))
     cuts = found.select("lang", "phrase", "size", F.col("f").alias("a"), "words",
                         F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
@@ -271,7 +336,7 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
     more frequent phrase, then to the smaller one by UTF-8 bytes. An empty table has no phrases.
     Further columns are not read.
     """
-    counts = written(phrase_counts(docs, threshold, longest, shards, filter_slots, lang_col, text_col), "phrases-counts")
+    counts = phrase_counts(docs, threshold, longest, shards, filter_slots, lang_col, text_col)
     rows = scored(counts, threshold, longest, cover)
     # The first `top` of each lane, then of these: a task never gets all candidates of a language.
     order = (F.desc("score"), F.desc("a"), "phrase")

@@ -96,20 +96,40 @@ def test_sections_do_not_cut_phrases(text, section):
 
 def test_scores_are_exact_beyond_64_bits(llm):
     n, a, left, r = 9 * 10**12, 7 * 10**11, 8 * 10**11, 9 * 10**11 + 7
-    df = llm.createDataFrame([("en", 1, "x", left), ("en", 1, "y", r), ("en", 1, "z", n - left - r), ("en", 2, "x y", a)],
+    df = llm.createDataFrame([("en", 0, "", n), ("en", 1, "x", left), ("en", 1, "y", r), ("en", 2, "x y", a)],
                              "lang string, size int, phrase string, n long")
     row = ph.scored(df).first()
     assert (row["n"], row["score"]) == (n, 1000 * a * n // (left * r))
 
 
-def test_hashes_of_scans_and_of_phrases_agree():
+def block(text, skip=()):
+    words = text.encode().split()
+    names = list(dict.fromkeys(words))
+    ids = np.array([names.index(w) for w in words], "<u2").tobytes()
+    return ph.Block("en", b" ".join(names), ids, np.array(skip, "<u4").tobytes())
+
+
+def test_hashes_and_words_count_the_same():
+    """With all slots set, both ways to count see every phrase, and phrases end at END marks."""
     times = np.zeros(97, dtype=np.uint8)
-    tokens = "a b a b c . a b".encode().split()
-    names = [p for _, part, _ in ph.counted(tokens, np.ones(8, bool), times, "en", 0, 4) for p in part.to_pylist()]
-    assert sorted(names) == sorted(x.encode() for x in ["a", "b", "c", "a b", "b a", "b c", "a b a", "b a b", "a b c",
-                                                       "a b a b", "b a b c", "a b a b c"])
-    hashes = ph.word_hashes([b"a", b"b"])
-    assert ph.phrase_hashes([b"a b"], "en") == ph.salted(ph.extended(hashes[:1], hashes[1:]), "en")
+    one = block("a b a b c . a b")
+    names = {p.decode(): int(k) for _, part, n in ph.counted(one, times, 5) for p, k in zip(part.to_pylist(), n)}
+    assert names == {"a": 3, "b": 3, "c": 1, "a b": 3, "b a": 1, "b c": 1, "a b a": 1, "b a b": 1, "a b c": 1,
+                     "a b a b": 1, "b a b c": 1, "a b a b c": 1}
+    found = np.concatenate(list(ph.active_hashes(one, times, 0, 4, 5)))
+    assert sorted(np.unique(found, return_counts=True)[1].tolist()) == sorted(names.values())
+    assert sum(n.sum() for _, _, n in ph.counted(block("a b a b c . a b", [3, 4]), times, 2)) == 5 + 4
+
+
+def test_a_cycle_is_one_scan_of_each_shard():
+    """A phrase is counted from the border at which both parts have their share, in as many scans as shards."""
+    one, size = block("a b c"), 1 << 12
+    times = np.full(size, ph.NEVER, dtype=np.uint8)
+    a, b, c = ph.salted(one.hashes, "en")
+    for h, border in ((a, 1), (b, 2), (c, 9)):
+        times[ph.slots(np.array([h], dtype=np.uint64), size)] = border
+    steps = [sum(map(len, ph.active_hashes(one, times, k, 4, 5))) for k in range(14)]
+    assert steps == [3, 3, 4, 4, 1, 1, 0, 0, 0, 1, 1, 1, 1, 0]
 
 
 def test_odd_rows(llm, odd, none):
