@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
@@ -98,6 +99,28 @@ def test_quality_on_held_out_rows(llm):
     assert np.mean(held) >= 0.9
 
 
+def test_quality_scores_equal_plain_neighbours(llm, docs):
+    """Every score against cosines and votes computed one text at a time."""
+    model = nq.fit(docs, llm.read.parquet(f"{SF}/labels.parquet"))
+    texts = all_texts(docs)
+    for r in nq.score(docs, model).collect():
+        place = model.place(nq.counts([texts[r["doc_id"]]]))[0]
+        near = sorted(((float(np.dot(place, v)), int(mark)) for v, mark in zip(model.vectors, model.labels)), reverse=True)
+        votes = [(max(c, 0.0) + 1e-6, mark) for c, mark in near[:nq.NEIGHBOURS]]
+        want = sum(w * mark for w, mark in votes) / sum(w for w, _ in votes)
+        tied = len(near) > nq.NEIGHBOURS and near[nq.NEIGHBOURS - 1][0] - near[nq.NEIGHBOURS][0] < 1e-6
+        assert tied or r["score"] == pytest.approx(want, abs=1e-4)
+
+
+def test_quality_sample_is_bounded(llm):
+    """Rows that repeat an id count once, so the driver never gets more than max_labelled."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    df = llm.createDataFrame([(i, f"text {i} {k % 3}") for i in ids for k in range(50)], "doc_id long, text string")
+    labels = llm.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    assert len(nq.fit(df, labels, max_labelled=5).labels) == 5
+    assert len(nq.fit(df, labels).labels) == len(ids)
+
+
 def test_quality_odd_rows(llm, odd, none):
     labels = llm.createDataFrame([(1, 1), (5, 0), (None, 1), (8, None), (6, 0)], "doc_id long, quality int")
     model = nq.fit(odd, labels)
@@ -189,6 +212,20 @@ def test_digest_odd_rows(llm, odd, none):
     assert copies.count() == 1
 
 
+def test_digest_of_a_hot_id(llm):
+    """Rows of one id, or of null, follow each other by the hash of their text over all tasks."""
+    rows = [(7, f"text {k % 90} of seven") for k in range(300)] + [(None, f"none {k}") for k in range(200)] + [(9, "nine")]
+    df = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = qd.edited_likeness(df).collect()
+    order = df.withColumn("h", F.xxhash64("text")).orderBy(F.desc("doc_id"), "h").collect()
+    assert [r["doc_id"] for r in order[:2]] == [9, 7]
+    want = []
+    for r, after in zip(order, order[1:] + order[:1]):
+        cut = len(r["text"]) // 3
+        want.append((str(r["doc_id"]), sha(r["text"][:len(r["text"]) - cut] + after["text"][:cut])))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got) == sorted(want)
+
+
 def test_histograms_do_not_cross_texts():
     joined, alone = qd.histograms([b"abcdefgh", b"", b"ab", b"xyzuvw"]), [b"abcdefgh", b"", b"ab", b"xyzuvw"]
     assert (joined == np.vstack([qd.histograms([d]) for d in alone])).all()
@@ -299,6 +336,32 @@ def test_substring_dedup_borders(llm):
     assert [got[i][1] for i in texts] == [0, 50, 0, 50, 100]
 
 
+def substring_rows(df, shard_words):
+    return {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"])
+            for r in sd.substring_dedup(df, shard_words=shard_words).collect()}
+
+
+@pytest.mark.parametrize("shard_words", [100_000, 100])
+def test_substring_repeats_within_texts_of_split_shards(llm, shard_words):
+    """A passage that each text holds twice, in different blocks of a shard."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = {i: f"{' '.join(f'a{i}x{k}' for k in range(40))} {passage} {' '.join(f'b{i}x{k}' for k in range(70))} {passage}"
+             for i in range(12)}
+    df = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = substring_rows(df, shard_words)
+    assert got == removed(texts) and [got[i][1] for i in range(12)] == [0] + [120] * 11
+
+
+@given(st.lists(st.lists(st.integers(0, 5), min_size=1, max_size=7), min_size=2, max_size=7), st.sampled_from([60, 150, 400]))
+@settings(max_examples=6, deadline=None)
+def test_substring_split_shards_against_brute_force(llm, plans, shard_words):
+    """Texts put together from six passages, with repeats within texts and between them."""
+    parts = [" ".join(f"q{n}x{k}" for k in range(20 + 12 * n)) for n in range(6)]
+    texts = {i: " ".join(parts[n] for n in plan) for i, plan in enumerate(plans)}
+    df = llm.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert substring_rows(df, shard_words) == removed(texts)
+
+
 def test_substring_dedup_odd_rows(odd, none):
     got = {r["doc_id"]: r for r in sd.substring_dedup(odd).filter("doc_id IS NOT NULL").collect()}
     assert got[5]["n_removed"] == 0 and got[6]["n_removed"] == 30_000 and got[6]["kept_text"] == "tail"
@@ -369,6 +432,33 @@ def test_pii_trees_add_spans_like_the_base(llm):
     assert spans[1000] == "phone:5:19" and spans[300] == ""
 
 
+def test_pii_spelled_addresses(llm):
+    """Addresses with words for @ and dots are found, however long; what only looks like one is not."""
+    data = [(k, f"write to jo.{k} [at] host{k % 9} [dot] example.org soon") for k in range(300)]
+    data += [(k, f"see you (at) noon{k % 9} or later {k}") for k in range(300, 600)]
+    long = "x" * 400
+    cases = {1000: "mail ann(at)mail.example.com now", 1001: f"at {long} [AT] {long}.org.", 1002: "meet (at) dawn"}
+    df = llm.createDataFrame(data + list(cases.items()), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(pii.find_pii(df)).collect()}
+    assert spans[1000] == "email:5:28" and spans[1001] == "email:3:812" and spans[1002] == spans[400] == ""
+    assert all(spans[k].startswith("email:9:") for k in range(300))
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert clean[5] == "write to [EMAIL] soon" and clean[1000] == "mail [EMAIL] now" and clean[400] == dict(data)[400]
+
+
+def test_pii_long_numbers_are_whole(llm):
+    """No span ends within a run of digits, and each kind has its own threshold."""
+    data = [(k, f"call +1 (534) 555-{k:04d} now") for k in range(200)]
+    data += [(k, f"mail jo{k} [at] example.org now") for k in range(200, 400)]
+    data += [(1000, "no " + " ".join(["1234567"] * 9) + " end"), (1001, "call (534) 555-2226 now")]
+    df = llm.createDataFrame(data, "doc_id long, text string")
+    trees = pii.fit(df)
+    assert set(trees.thresholds) == {0, 3}
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(pii.find_pii(df, trees)).collect()}
+    assert spans[1001] == "phone:5:19" and spans[300].startswith("email:5:") and ":3:74" not in spans[1000]
+    assert spans[1000] in ("", "card:3:74")
+
+
 def test_pii_redaction_and_odd_rows(llm, odd, none):
     clean = pii.redact(odd)
     assert clean.columns == odd.columns and clean.count() == odd.count()
