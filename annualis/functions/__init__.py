@@ -1,7 +1,7 @@
 from annualis.functions.calc import (
     clamp, date_day, date_month, date_year, div, fill, flag, in_ranges, null_if, row_total,
 )
-from annualis.functions.lookups import attach_code, code_table, scattered_join
+from annualis.functions.lookups import attach_code, code_table, prefilter, scattered_join
 from annualis.functions.text import (
     birth_month, birth_year, plain_int, safe_int, strip, strip_zeros, without_prefix,
 )
@@ -9,5 +9,5 @@ from annualis.functions.text import (
 __all__ = [
     "attach_code", "birth_month", "birth_year", "clamp", "code_table", "date_day",
     "date_month", "date_year", "div", "fill", "flag", "in_ranges", "null_if", "plain_int",
-    "row_total", "safe_int", "scattered_join", "strip", "strip_zeros", "without_prefix",
+    "prefilter", "row_total", "safe_int", "scattered_join", "strip", "strip_zeros", "without_prefix",
 ]

@@ -40,6 +40,34 @@ def safe_int(c: Column | str, dtype: str = "bigint") -> Column:
     return plain_int(strip(c), dtype)
 
 
+# Integer fields of a whole row, joined by semicolons, that need no clean-up: blanks around digits at
+# most, and few enough of them for 64 bits.
+PLAIN_ROW = r"^(?: *+[+-]?[0-9]{1,18}+ *+(?:;|\\z))*+\\z"
+
+
+def plain_row(columns: list[str]) -> str:
+    """Whether all fields of a row are plain integers or null: one pattern for the row."""
+    return f"concat_ws(';', {', '.join(columns)}) RLIKE '{PLAIN_ROW}'"
+
+
+def ascii_row(columns: list[str]) -> str:
+    """Whether all fields of a row are printable ASCII, whose only white space is the blank."""
+    return f"NOT concat_ws('', {', '.join(columns)}) RLIKE '[^ -~]'"
+
+
+def row_int(c: str, dtype: str = "bigint", plain: str = "_plain") -> str:
+    """``safe_int`` of a field of a row with its plain_row in a column: only rows that fail it are
+    stripped and tested field by field."""
+    text = strip_sql(c)
+    return (f"CASE WHEN {plain} THEN try_cast({c} AS {dtype}) "
+            f"WHEN {text} RLIKE '{INTEGER}' THEN try_cast({text} AS {dtype}) END")
+
+
+def row_strip(c: str, ascii_: str = "_ascii") -> str:
+    """``strip`` of a field of a row with its ascii_row in a column."""
+    return f"CASE WHEN {ascii_} THEN trim({c}) ELSE {strip_sql(c)} END"
+
+
 def plain_int(c: Column | str, dtype: str = "int") -> Column:
     """Integer of a text that may not contain blanks (a cast alone would ignore them)."""
     c = _col(c)

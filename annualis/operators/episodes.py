@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from annualis import codes
 from annualis.functions import (
-    clamp, date_day, date_year, div, flag, in_ranges, scattered_join,
+    clamp, date_day, date_year, div, flag, in_ranges, prefilter, scattered_join,
 )
+from annualis.functions.lookups import FILTER_SLOTS
 from annualis.operators.keys import dedup_by_key
 
 MONTHS = range(1, 13)
@@ -14,14 +15,18 @@ DAYS = [f"days{m}" for m in MONTHS]
 
 
 def restrict_to_cohort(facts: DataFrame, cohort: DataFrame, scatter_by: list[str | Column],
-                       person: str = "person_id", salts: int = 16) -> DataFrame:
+                       person: str = "person_id", salts: int = 16, filter_slots: int = FILTER_SLOTS) -> DataFrame:
     """Keep the facts of each person's last extract only, over all extracts at once.
 
-    A person may hold a large share of the facts, hence the scattered join. The extract year is
-    not a key afterwards, so later aggregates shuffle (pre-aggregated) on their own keys.
+    A person has facts in up to as many extracts as there are and keeps one of them, so a filter of
+    bounded size, made of the cohort, drops the others where they are read (``filter_slots``; 0: no
+    filter). A person may hold a large share of what stays, hence the scattered join. The extract year
+    is not a key afterwards, so later aggregates shuffle (pre-aggregated) on their own keys.
     """
+    keys = [person, "extract_year"]
     lookup = cohort.select(person, F.col("last_extract").alias("extract_year"))
-    kept = scattered_join(facts, lookup, [person, "extract_year"], "left_semi", scatter_by, salts)
+    near = prefilter(facts, lookup, keys, filter_slots) if filter_slots else facts
+    kept = scattered_join(near, lookup, keys, "left_semi", scatter_by, salts)
     return kept.drop("extract_year")
 
 

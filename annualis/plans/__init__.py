@@ -1,5 +1,5 @@
 from annualis.plans.panel import (
-    SHARED, STAGES, build_panel, run, scan_sources, stage_tables,
+    SHARED, STAGES, build_panel, run, run_report, scan_sources, stage_tables,
 )
 
-__all__ = ["SHARED", "STAGES", "build_panel", "run", "scan_sources", "stage_tables"]
+__all__ = ["SHARED", "STAGES", "build_panel", "run", "run_report", "scan_sources", "stage_tables"]

@@ -6,10 +6,10 @@ back, which cuts the lineage and lets a run resume; without one the same steps c
 single lazy plan.
 """
 
-import json
+from base64 import b64encode
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from annualis import codes
@@ -20,10 +20,11 @@ from annualis.operators import (
     restrict_to_cohort, retirement_year,
 )
 from annualis.operators.contributions import monthly_maximum
-from annualis.operators.income import person_income, work_income
+from annualis.operators.income import person_income, personal_income, work_income
+from annualis.operators.report import LG_K
 from annualis.sources import layouts
-from annualis.sources.scan import scan_raw, superseded
-from annualis.sources.stages import has_stage, read_stage, same_options, write_stage, write_summary
+from annualis.sources.scan import list_files, row_quality, scan_raw
+from annualis.sources.stages import Versions, publish, read_manifest, table_key, write_stage, write_summary
 
 # Stage number -> its tables. Nothing reads the RESULTS_ONLY back; WIDE ones are large copies.
 STAGES = {
@@ -32,8 +33,7 @@ STAGES = {
     3: ["monthly_days"],
     4: ["annual"],
     5: ["annual_demographics"],
-    6: ["firm_id_correction", "income", "income_work", "income_unemp", "income_prof",
-        "income_pension", "pensions"],
+    6: ["firm_id_correction", "income", "income_work", "income_person", "income_pension", "pensions"],
     7: ["panel"],
 }
 WIDE = {"individuals_full", "merged", "monthly_days"}
@@ -45,10 +45,20 @@ SOURCES = ["PERSONAL", "CONVIVIR", "AFILIAD", "COTIZA", "FISCAL", "PRESTAC"]
 Table = Callable[[int, str, Callable[[], DataFrame]], DataFrame]
 
 
-def scan_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The raw scans of all sources below a folder of year folders."""
-    skip = superseded(spark, root)
-    return {source: scan_raw(spark, root, source, skip=skip) for source in SOURCES}
+def scan_sources(spark: SparkSession, root: str, files: list[Row] | None = None,
+                 seen: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    """The raw scans of all sources below a folder of year folders, which is listed once.
+
+    ``seen`` receives an observation of row quality for each source that has files; it is filled by the
+    pass that reads the source.
+    """
+    files = list_files(spark, root) if files is None else files
+    raw = {s: scan_raw(spark, root, s, files=files, ledger=seen is not None) for s in SOURCES}
+    if seen is not None:
+        for source in {f.source for f in files} & set(SOURCES):
+            seen[source] = Observation(f"quality of {source}")
+            raw[source] = raw[source].observe(seen[source], *row_quality(source)).drop("n_fields", "undecodable")
+    return raw
 
 
 def _years(raw: dict[str, DataFrame], source: str, first: int, last: int) -> DataFrame:
@@ -63,11 +73,13 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
                 last: int = codes.LAST_EXTRACT, last_panel_year: int | None = None,
                 table: Table = _lazy, inkind: str = "twice", per_key: str = "sum",
                 flags: str = "first", calendar_lags: bool = False,
-                names: dict[str, str] | None = None, salts: int = 16) -> DataFrame:
+                names: dict[str, str] | None = None, salts: int = 16,
+                without: tuple[str, ...] = ()) -> DataFrame:
     """The panel from raw rows by source. ``table`` decides whether a step is materialised.
 
     ``salts`` is the number of sub-keys a person or an account is split into where raw facts
     meet a lookup; on a big cluster raise it as long as the lookups stay small beside the facts.
+    ``without`` names columns that the person-years shall lack, as sources without them would have it.
     ``last_panel_year`` is the later one of ``last`` and the default extract, if it isn't given.
     """
     last_panel_year = last_panel_year or max(last, codes.LAST_EXTRACT)
@@ -116,10 +128,9 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
     def panel():
         by_firm = table(6, "income", income)
         out = assemble_panel(
-            table(5, "annual_demographics", demographics),
+            table(5, "annual_demographics", demographics).drop(*without),
             table(6, "income_work", lambda: work_income(by_firm)),
-            table(6, "income_unemp", lambda: person_income(by_firm, "unemp")),
-            table(6, "income_prof", lambda: person_income(by_firm, "prof")),
+            table(6, "income_person", lambda: personal_income(by_firm)),
             table(6, "pensions", lambda: retirement_year(
                 layouts.read_pensions(_years(raw, "PRESTAC", first, last)))),
             table(6, "firm_id_correction", lambda: firm_id_correction(all_episodes())),
@@ -139,9 +150,8 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
     return table(7, "panel", panel)
 
 
-def stage_tables(spark: SparkSession, out_root: str, from_stage: int = 1,
-                 keep: set[str] | None = None) -> Table:
-    """A ``table`` function that writes each step once, and reads steps before ``from_stage``.
+def stage_tables(spark: SparkSession, out_root: str, keep: set[str] | None = None) -> Table:
+    """A ``table`` function that writes each step once, below a folder of its own run.
 
     ``keep`` limits the written steps; all others stay lazy.
     """
@@ -151,13 +161,6 @@ def stage_tables(spark: SparkSession, out_root: str, from_stage: int = 1,
         if name not in done:
             if keep is not None and name not in keep:
                 done[name] = None if name in RESULTS_ONLY else build()
-            elif stage < from_stage and has_stage(spark, out_root, name):
-                done[name] = read_stage(spark, out_root, name)
-            elif name == "panel":
-                # well-sized files per year: AQE splits big years and merges small ones
-                sized = build().hint("rebalance", "year").sortWithinPartitions(
-                    "year", "person_id")
-                done[name] = write_stage(sized, out_root, name, partition_by="year")
             else:
                 done[name] = write_stage(build(), out_root, name)
         return done[name]
@@ -165,22 +168,115 @@ def stage_tables(spark: SparkSession, out_root: str, from_stage: int = 1,
     return table
 
 
+# What decides the rows of a table: the sources it is read from, the tables it is built from, and the
+# options that shape it. Options in no list (salts) change no row.
+DEPENDS: dict[str, tuple[list[str], list[str], list[str]]] = {
+    "persons": (["PERSONAL", "CONVIVIR"], [], []),
+    "individuals_full": ([], ["persons"], ["last_panel_year"]),
+    "individuals_last": ([], ["persons"], ["last_panel_year"]),
+    "episodes_typed": (["AFILIAD"], [], []),
+    "firms": ([], ["episodes_typed"], []),
+    "episodes": ([], ["episodes_typed", "individuals_last"], []),
+    "contributions": (["COTIZA"], ["individuals_last"], []),
+    "merged": ([], ["episodes", "contributions"], ["last_panel_year"]),
+    "monthly_days": ([], ["merged"], []),
+    "annual": ([], ["episodes", "contributions"], ["last_panel_year", "per_key", "flags", "calendar_lags"]),
+    "annual_demographics": ([], ["annual", "persons"], ["last_panel_year"]),
+    "firm_id_correction": ([], ["episodes_typed"], []),
+    "income": (["FISCAL"], [], []),
+    "income_work": ([], ["income"], []),
+    "income_person": ([], ["income"], []),
+    "income_pension": ([], ["income"], []),
+    "pensions": (["PRESTAC"], [], []),
+    "panel": ([], ["annual_demographics", "income_work", "income_person", "pensions", "firm_id_correction"],
+              ["inkind", "calendar_lags", "names", "without"]),
+}
+RULES = 1  # raise it when the rules of a table change, so that older versions are not taken over
+
+
+def table_keys(files: list[Row], first: int, last: int, options: dict) -> dict[str, str]:
+    """The key of every table: a digest of the files (path, size, time) it is read from, the years, the
+    options that shape it, and the keys of the tables below it."""
+    keys: dict[str, str] = {}
+
+    def key(name: str) -> str:
+        if name not in keys:
+            sources, tables, shaped = DEPENDS[name]
+            read = sorted((f.path, f.size, str(f.modified)) for f in files if f.source in sources)
+            keys[name] = table_key(name, rules=RULES, years=[first, last], files=read,
+                                   tables={t: key(t) for t in tables}, options={o: options.get(o) for o in shaped})
+        return keys[name]
+    for name in DEPENDS:
+        key(name)
+    return keys
+
+
 def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FIRST_EXTRACT,
-        last: int = codes.LAST_EXTRACT, from_stage: int = 1, wide_tables: bool = False,
+        last: int = codes.LAST_EXTRACT, from_stage: int = 1, wide_tables: bool = False, ledger: bool = False,
         **options) -> DataFrame:
-    """Build and write every stage table, the panel (by year) and the summary.
-
-    Stages before ``from_stage`` are read from ``out_root`` instead of computed (and computed
-    if missing); they must come from a run with the same years and options. ``wide_tables`` also writes the rectangular person panel and the episode-year
-    tables with monthly bases and days; nothing reads them back, so they are off by default.
+    """Build and write every stage table, the panel (by year) and the summary, and publish them.
+
+    The raw folder is listed once. A table is built unless it belongs to a stage before ``from_stage``
+    and a whole version of it is there that was built from the same files, years and options, by any
+    earlier run, finished or not (``from_stage=8``: whatever is there and still right). The manifest names
+    the versions of the last whole run; it is replaced in one step at the end, so what readers see
+    changes from one whole run to the next.
+
+    ``wide_tables`` also writes the rectangular person panel and the episode-year tables with monthly
+    bases and days; nothing reads them back, so they are off by default. ``ledger`` also counts rows that
+    are short, long or hold bad bytes, in the pass that reads them; the counts of the sources that this
+    run has read are in the manifest.
     """
     names = {name for tables in STAGES.values() for name in tables}
     keep = names if wide_tables else names - WIDE
-    # names and inkind only shape the panel itself, which is always built anew
-    chosen = {k: v for k, v in options.items() if k not in ("names", "inkind", "salts")}
-    chosen = json.dumps({"first": first, "last": last, **chosen}, sort_keys=True)
-    same_options(spark, out_root, chosen, from_stage > 1)
-    table = stage_tables(spark, out_root, from_stage, keep)
-    panel = build_panel(scan_sources(spark, raw_root), first, last, table=table, **options)
+    shaped = {"last_panel_year": max(last, codes.LAST_EXTRACT), "per_key": "sum", "flags": "first",
+              "calendar_lags": False, "inkind": "twice", "names": None, **options}
+    files = list_files(spark, raw_root, first, last)
+    keys, versions = table_keys(files, first, last, shaped), Versions(spark, out_root)
+    seen: dict[str, Observation] = {}
+    raw = scan_sources(spark, raw_root, files, seen if ledger else None)
+    counts: dict[str, Observation] = {}
+    done: dict[str, DataFrame | None] = {}
+
+    def table(stage: int, name: str, build: Callable[[], DataFrame]) -> DataFrame | None:
+        if name not in done and name not in keep:
+            done[name] = None if name in RESULTS_ONLY else build()
+        elif name not in done:
+            def counted():
+                out = build()
+                if "person_id" in out.columns:  # rows and persons, in the pass that writes them
+                    counts[name] = Observation(name)
+                    out = out.observe(counts[name], F.count(F.lit(1)).alias("n_rows"),
+                                      F.hll_sketch_agg("person_id", LG_K).alias("sketch"))
+                if name != "panel":
+                    return out
+                # well-sized files per year: AQE splits big years and merges small ones
+                return out.hint("rebalance", "year").sortWithinPartitions("year", "person_id")
+            done[name] = versions.table(name, keys[name], counted, "year" if name == "panel" else None,
+                                        reuse=stage < from_stage, stage=stage)
+        return done[name]
+
+    panel = build_panel(raw, first, last, table=table, **options)
     write_summary(panel_summary(panel), out_root)
+    before = read_manifest(spark, out_root).get("tables", {})
+    for name, told in versions.tables.items():
+        if name in counts:
+            found = counts[name].get
+            told |= {"n_rows": found["n_rows"], "sketch": b64encode(found["sketch"]).decode()}
+        elif before.get(name, {}).get("key") == told["key"]:  # as counted when it was written
+            told |= {k: v for k, v in before[name].items() if k in ("n_rows", "sketch")}
+    read = {s for n, t in versions.tables.items() if t["built"] for s in DEPENDS[n][0]}
+    publish(spark, out_root, {
+        "tables": versions.tables, "years": [first, last], "options": shaped,
+        "files": [[f.path, f.size, str(f.modified)] for f in files],
+        "quality": {s: o.get for s, o in seen.items() if s in read}})
     return panel
+
+
+def run_report(spark: SparkSession, out_root: str) -> DataFrame:
+    """name, stage, built (by the last run), n_rows and the estimated persons of every table of the last
+    whole run, from what was counted while they were written; null for what was not counted."""
+    rows = [(name, t["stage"], t["built"], t.get("n_rows"), t.get("sketch"))
+            for name, t in sorted(read_manifest(spark, out_root).get("tables", {}).items())]
+    found = spark.createDataFrame(rows, "name string, stage int, built boolean, n_rows long, sketch string")
+    return found.select("name", "stage", "built", "n_rows", F.expr("hll_sketch_estimate(unbase64(sketch))").alias("n_persons"))

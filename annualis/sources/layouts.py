@@ -11,8 +11,9 @@ from annualis import codes
 from annualis.functions import (
     attach_code, fill, null_if, plain_int, safe_int, strip, without_prefix,
 )
-from annualis.functions.text import INTEGER, strip_sql
+from annualis.functions.text import ascii_row, plain_row, row_int, row_strip, strip_sql
 from annualis.operators.keys import dedup_by_key, drop_conflicting_keys
+from annualis.sources.naming import OPEN, PART_LIMITS, wanted_part
 
 MONTHS = range(1, 13)
 MEMBERS = range(2, 11)
@@ -44,12 +45,11 @@ MONTH_START_UNTIL_2012, MONTH_START_AFTER_2012 = 8, 3
 BASES = {"regular": ("contribution_", "part BETWEEN 1 AND 12"),
          "autonomous": ("contribution_aut_", "part = 13")}
 
-# Number of episode parts per extract.
-EPISODE_PARTS_UNTIL_2012, EPISODE_PARTS_AFTER_2012 = 3, 4
-
-
-def _by_extract(until: int, before: Column, after: Column) -> Column:
-    return F.when(F.col("extract_year") <= until, before).otherwise(after)
+# Fields that a layout reads, by source, as (last extract, number of fields): shorter rows lack some.
+FIELDS_READ = {"PERSONAL": [(OPEN, 10)], "CONVIVIR": [(OPEN, 21)],
+               "AFILIAD": [(LAST_OLD_INDUSTRY_EXTRACT, 29), (OPEN, 30)],
+               "COTIZA": [(2012, MONTH_START_UNTIL_2012 + 12), (OPEN, MONTH_START_AFTER_2012 + 12)],
+               "FISCAL": [(2015, 9), (2016, 11), (OPEN, 12)], "PRESTAC": [(OPEN, 11)], "DIVISION": [(OPEN, 3)]}
 
 
 def read_persons(raw: DataFrame, on_conflict: str = "drop") -> DataFrame:
@@ -103,57 +103,61 @@ def read_households(raw: DataFrame) -> DataFrame:
 
 
 def read_episodes(raw: DataFrame) -> DataFrame:
-    """Employment episodes, all parts of all extracts."""
-    typed = [
-        (strip(f"c{i}") if name in EPISODE_TEXT_FIELDS else safe_int(f"c{i}")).alias(name)
-        for i, name in enumerate(EPISODE_FIELDS) if name
-    ]
-    here, repeated = safe_int(f"c{INDUSTRY_POSITION}"), safe_int(f"c{OLD_INDUSTRY_POSITION}")
-    none = F.lit(None).cast("bigint")
-    return raw.select(
-        "extract_year", *typed,
-        _by_extract(LAST_OLD_INDUSTRY_EXTRACT, here, repeated).alias("sector_cnae93"),
-        _by_extract(LAST_OLD_INDUSTRY_EXTRACT, none, here).alias("sector_cnae09"),
+    """Employment episodes, all parts of all extracts.
+
+    Whether a row needs clean-up is found once for all its integers and once for all its texts; rows
+    that don't, which are nearly all, are cast and trimmed without a pattern for each field.
+    """
+    named = {name: f"c{i}" for i, name in enumerate(EPISODE_FIELDS) if name}
+    texts = [c for name, c in named.items() if name in EPISODE_TEXT_FIELDS]
+    here, repeated = f"c{INDUSTRY_POSITION}", f"c{OLD_INDUSTRY_POSITION}"
+    integers = [c for name, c in named.items() if name not in EPISODE_TEXT_FIELDS] + [here, repeated]
+    rows = raw.selectExpr("extract_year", *named.values(), here, repeated,
+                          f"{plain_row(integers)} AS _plain", f"{ascii_row(texts)} AS _ascii")
+    old = f"extract_year <= {LAST_OLD_INDUSTRY_EXTRACT}"
+    return rows.selectExpr(
+        "extract_year",
+        *[f"{row_strip(c) if name in EPISODE_TEXT_FIELDS else row_int(c)} AS {name}" for name, c in named.items()],
+        f"CASE WHEN {old} THEN {row_int(here)} ELSE {row_int(repeated)} END AS sector_cnae93",
+        f"CASE WHEN NOT ({old}) THEN {row_int(here)} END AS sector_cnae09",
     )
 
 
-def delivered_episode_parts(raw: DataFrame) -> DataFrame:
-    """Keep the parts an extract is made of."""
-    last = _by_extract(2012, F.lit(EPISODE_PARTS_UNTIL_2012), F.lit(EPISODE_PARTS_AFTER_2012))
-    return raw.filter(F.col("part").between(F.lit(1), last))
+def delivered_episode_parts(raw: DataFrame, limits: list[tuple[int, int]] = PART_LIMITS["AFILIAD"]) -> DataFrame:
+    """Keep the parts an extract is made of; the scan does not open files of other ones."""
+    identity = F.struct(F.col("extract_year").alias("year"), F.lit("AFILIAD").alias("source"), F.col("part"))
+    return raw.filter(wanted_part(identity, {"AFILIAD": limits}))
 
 
-def _bases(prefix: str, parts: str) -> list[Column]:
-    """The twelve monthly bases of the given parts, null on rows of other parts."""
-    def base(position: int) -> str:
-        text = strip_sql(f"c{position}")
-        return f"WHEN {text} RLIKE '{INTEGER}' THEN try_cast({text} AS BIGINT)"
+def _months(raw: DataFrame) -> DataFrame:
+    """extract_year, part, keys, and the twelve bases of the era as text with their plain_row."""
+    months = raw.selectExpr("extract_year", "part", "c0", "c1", "c2", *[
+        f"CASE WHEN extract_year <= 2012 THEN c{MONTH_START_UNTIL_2012 + m - 1} "
+        f"ELSE c{MONTH_START_AFTER_2012 + m - 1} END AS m{m}" for m in MONTHS])
+    return months.selectExpr("*", f"{plain_row(['c2', *[f'm{m}' for m in MONTHS]])} AS _plain")
+
 
-    return [
-        F.expr(f"""
-            CASE WHEN NOT ({parts}) THEN NULL
-                 WHEN extract_year <= 2012 THEN CASE {base(MONTH_START_UNTIL_2012 + m - 1)} END
-                 ELSE CASE {base(MONTH_START_AFTER_2012 + m - 1)} END END AS {prefix}{m}""")
-        for m in MONTHS
-    ]
+def _bases(prefix: str, parts: str) -> list[str]:
+    """The twelve monthly bases of the given parts, null on rows of other parts."""
+    return [f"CASE WHEN {parts} THEN {row_int(f'm{m}')} END AS {prefix}{m}" for m in MONTHS]
 
 
-def _contribution_keys() -> list[Column]:
-    return [F.col("extract_year"), strip("c0").alias("person_id"), strip("c1").alias("firm_cc2"),
-            safe_int("c2", "smallint").alias("year")]
+def _contribution_keys() -> list[str]:
+    return ["extract_year", f"{strip_sql('c0')} AS person_id", f"{strip_sql('c1')} AS firm_cc2",
+            f"{row_int('c2', 'smallint')} AS year"]
 
 
 def read_contributions(raw: DataFrame, autonomous: bool = False) -> DataFrame:
     """Monthly contribution bases in cents: the regular parts, or the self-employed part."""
     prefix, parts = BASES["autonomous" if autonomous else "regular"]
-    return raw.filter(parts).select(*_contribution_keys(), *_bases(prefix, "part IS NOT NULL"))
+    return _months(raw.filter(parts)).selectExpr(*_contribution_keys(), *_bases(prefix, "true"))
 
 
 def read_all_contributions(raw: DataFrame) -> DataFrame:
     """Regular and self-employed bases in one pass, side by side, rows not yet merged."""
     months = [c for prefix, parts in BASES.values() for c in _bases(prefix, parts)]
     any_part = " OR ".join(parts for _, parts in BASES.values())
-    return raw.filter(any_part).select(*_contribution_keys(), *months)
+    return _months(raw.filter(any_part)).selectExpr(*_contribution_keys(), *months)
 
 
 def read_payments(raw: DataFrame) -> DataFrame:
@@ -163,19 +167,24 @@ def read_payments(raw: DataFrame) -> DataFrame:
     inkind_cents is the part in kind. wage and inkind are the same in euros.
     """
     year = F.col("extract_year")
+    rows = raw.selectExpr("*", f"{plain_row(['c5', 'c6', 'c7', 'c8', 'c10', 'c11'])} AS _plain",
+                          f"{ascii_row(['c0', 'c1', 'c2', 'c4'])} AS _ascii")
 
     def cents(c):
-        return fill(safe_int(c), 0)
+        return fill(F.expr(row_int(c)), 0)
+
+    def text(c):
+        return F.expr(row_strip(c))
 
     # Until 2015 in kind is position 8; later it is 10, position 7 adds to the
     # amount, and from 2017 position 11 adds to the part in kind.
     amount = cents("c6") + F.when(year >= 2016, cents("c7")).otherwise(F.lit(0))
     inkind = (F.when(year <= 2015, cents("c8")).otherwise(cents("c10"))
               + F.when(year >= 2017, cents("c11")).otherwise(F.lit(0)))
-    df = raw.select(
-        strip("c0").alias("person_id"), strip("c2").alias("firm_id"),
-        strip("c1").alias("firm_jur_status"), strip("c4").alias("payment_type"),
-        safe_int("c5", "int").alias("payment_subtype"), year.cast("smallint").alias("year"),
+    df = rows.select(
+        text("c0").alias("person_id"), text("c2").alias("firm_id"),
+        text("c1").alias("firm_jur_status"), text("c4").alias("payment_type"),
+        F.expr(row_int("c5", "int")).alias("payment_subtype"), year.cast("smallint").alias("year"),
         amount.alias("amount_cents"), inkind.alias("inkind_cents"),
     )
     return df.select(

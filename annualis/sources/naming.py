@@ -13,6 +13,10 @@ SOURCES = ["AFILIAD", "CONVIVIR", "COTIZA", "DIVISION", "FISCAL", "PERSONAL", "P
 _ANY = "|".join(SOURCES)
 OPEN = 9999  # regular names go on
 
+# The parts an extract is made of, by source, as (last extract, last part); parts count
+# from one, and files of other parts are left out. Other sources come in one piece.
+PART_LIMITS = {"AFILIAD": [(2012, 3), (OPEN, 4)], "COTIZA": [(OPEN, 13)]}
+
 # File name patterns, as (first folder year, last folder year, pattern, source).
 # Group 1 is the source where none is given; the last group is the part (may be empty).
 # A pattern with the text {year} must repeat the folder year.
@@ -81,6 +85,23 @@ def _matches(path: Column) -> list[tuple[Column, Column]]:
     return out
 
 
+def delivered_file(path: Column) -> Column:
+    """The path of the file, or of the directory that holds it in pieces."""
+    return F.regexp_replace(path, r"/part-[^/]*$", "")
+
+
+def wanted_part(identity: Column, limits: dict[str, list[tuple[int, int]]] = PART_LIMITS) -> Column:
+    """Whether a file is of a part that its extract is made of; true for sources in one piece."""
+    wanted = F.lit(True)
+    for source, steps in limits.items():
+        last = F.lit(None).cast("int")
+        for until, part in sorted(steps, reverse=True):
+            last = F.when(identity["year"] <= until, part).otherwise(last)
+        inside = F.coalesce(identity["part"].between(F.lit(1), last), F.lit(False))
+        wanted = F.when(identity["source"] == source, inside).otherwise(wanted)
+    return wanted
+
+
 def spelling(path: Column) -> Column:
     """Number of the first pattern that the path matches; the regular name comes first."""
     found = F.lit(None).cast("int")

@@ -707,3 +707,79 @@ oracle("panel_summary", ["p_panel"], """
 SELECT year, count(DISTINCT person_id) AS n_persons, round(avg(real_wage), 4) AS mean_real_wage,
        round(avg(real_tot_inc), 4) AS mean_real_tot_inc, round(avg(days), 4) AS mean_days
 FROM p_panel GROUP BY year""")
+
+
+# The same panel for sources without firm identifiers and ages, in kind once, lags of calendar years
+
+part("p_annual_lacking", ["p_annual", "p_work_days"],
+     f"SELECT d.* EXCLUDE (days_lag1, days_lag2, days_lag3), {_ANY_LAGS.replace('FROM work_days', 'FROM p_work_days')} FROM p_annual d")
+part("p_demo_lacking", ["p_annual_lacking", "p_persons"], with_persons(
+    "p_annual_lacking", "p_persons", 2024,
+    ["birth_year", "birth_month", "birth_date", "sex", "nationality", "birth_country",
+     "death_year_month", "education", "person_muni_latest", "first_extract", "last_extract",
+     *_HOME_COLUMNS]))
+part("p_family_lacking", ["p_demo_lacking"], family("p_demo_lacking", [b for b, _, _, _ in _PAIRS]))
+part("p_contract_lacking", ["p_family_lacking"], contract("p_family_lacking"))
+part("p_income_lacking", ["p_contract_lacking", "p_work", "p_unemp", "p_prof", "p_retired"], """
+SELECT *, wage + inc_unemp + inc_prof AS tot_inc FROM (
+  SELECT c.* EXCLUDE (firm_id, age), coalesce(w.wage, 0) AS fiscal_wage, coalesce(w.inkind, 0) AS fiscal_inkind,
+         coalesce(w.wage, 0) AS wage,
+         coalesce(u.inc_unemp, 0) AS inc_unemp, coalesce(u.inkind_unemp, 0) AS inkind_unemp,
+         coalesce(f.inc_prof, 0) AS inc_prof, coalesce(f.inkind_prof, 0) AS inkind_prof, r.retirementyear
+  FROM p_contract_lacking c
+  LEFT JOIN (SELECT person_id, year, CAST(sum(round(wage * 100)) AS BIGINT)::DOUBLE / 100 AS wage,
+                    CAST(sum(round(inkind * 100)) AS BIGINT)::DOUBLE / 100 AS inkind
+             FROM p_work GROUP BY person_id, year) w ON w.person_id = c.person_id AND w.year = c.year
+  LEFT JOIN p_unemp u ON u.person_id = c.person_id AND u.year = c.year
+  LEFT JOIN p_prof f ON f.person_id = c.person_id AND f.year = c.year
+  LEFT JOIN p_retired r ON r.person_id = c.person_id)""")
+oracle("panel_lacking", ["p_income_lacking"], f"""
+SELECT * EXCLUDE (education, {', '.join(_HOME_COLUMNS)}) REPLACE (coalesce(days, 0) AS days),
+       {FOUR.replace('education_7cats', 'education')} AS education, education AS education_7cats,
+       CAST(NULL AS DOUBLE) AS age, CAST(year - birth_year AS INT) AS age_int, death_year_month // 100 AS death_year,
+       (SELECT q.tot_inc FROM p_income_lacking q WHERE q.person_id = d.person_id AND q.year = d.year - 1) AS tot_inc_lag,
+       CAST(coalesce(days_lag1, 0) >= 360 AS TINYINT) AS fullyear_lag1
+FROM ({deflated('(' + located('p_income_lacking') + ')', ['wage', 'inc_unemp', 'inc_prof', 'tot_inc'])}) d""")
+
+# Files: what is written as text comes back; stages give what the whole plan gives
+
+for _name in ("households", "episodes", "contributions", "payments", "pensions", "file_numbers"):
+    ORACLE[f"scan_{_name}"] = ORACLE[f"read_{_name}"]
+ORACLE["entity_incremental"] = ORACLE["entity_latest"]
+ORACLE["staged_run"] = ORACLE["panel"]
+ORACLE["staged_summary"] = ORACLE["panel_summary"]
+
+# By source: the projection, its fields, whether it has parts, and the fields its layout reads
+_TEXTS = [("PERSONAL", "raw_persons", 10, False, "10"), ("CONVIVIR", "raw_households", 21, False, "21"),
+          ("AFILIAD", "raw_episodes", 30, True, "CASE WHEN extract_year <= 2009 THEN 29 ELSE 30 END"),
+          ("COTIZA", "raw_contributions", 20, True, "CASE WHEN extract_year <= 2012 THEN 20 ELSE 15 END"),
+          ("FISCAL", "raw_payments", 12, False,
+           "CASE WHEN extract_year <= 2015 THEN 9 WHEN extract_year = 2016 THEN 11 ELSE 12 END"),
+          ("PRESTAC", "raw_pensions", 11, False, "11"), ("DIVISION", "raw_file_numbers", 3, False, "3")]
+LEFT_OUT = "(part > CASE WHEN extract_year <= 2012 THEN 3 ELSE 4 END)"
+
+
+def _ledger(source: str, rows: str, width: int, parts: bool, needed: str) -> str:
+    fields = ", ".join(f"c{i}" for i in range(width))
+    return f"""
+SELECT '{source}' AS source, extract_year, {'part' if parts else 'CAST(NULL AS INT) AS part'}, count(*) AS n_rows,
+       count_if(kind = 2 AND filled < {needed}) AS n_short, count_if(kind = 1) AS n_long, count_if(kind = 4) AS n_undecodable
+FROM (SELECT *, CAST(substr(trim(c0), 2) AS BIGINT) % 7 AS kind,
+             list_max(list_transform(list_zip([{fields}], range(1, {width} + 1)), lambda x: CASE WHEN x[1] <> '' THEN x[2] ELSE 0 END)) AS filled
+      FROM {rows} {f"WHERE NOT {LEFT_OUT}" if source == 'AFILIAD' else ''})
+GROUP BY ALL"""
+
+
+oracle("scan_ledger", [t[1] for t in _TEXTS], "\nUNION ALL\n".join(_ledger(*t) for t in _TEXTS))
+oracle("source_files", ["raw_episodes", "raw_payments", "raw_persons"], f"""
+SELECT DISTINCT CAST(extract_year AS INT) AS year, 'AFILIAD' AS source, part,
+       CASE WHEN {LEFT_OUT} THEN 'left out' ELSE 'read' END AS status FROM raw_episodes
+UNION ALL SELECT DISTINCT CAST(extract_year AS INT), 'FISCAL', CAST(NULL AS INT), s FROM raw_payments, (VALUES ('read'), ('superseded')) v(s)
+UNION ALL SELECT DISTINCT CAST(extract_year AS INT), 'PERSONAL', CAST(NULL AS INT), s FROM raw_persons, (VALUES ('read'), ('duplicate')) v(s)""")
+
+oracle("person_report", ["contributions", "payments", "snapshots"], """
+SELECT name, year, count(*) AS n_rows, count(DISTINCT person_id) AS n_entities, true AS within_error FROM (
+  SELECT 'contributions' AS name, CAST(year AS INT) AS year, person_id FROM contributions
+  UNION ALL SELECT 'payments', CAST(year AS INT), person_id FROM payments
+  UNION ALL SELECT 'snapshots', CAST(extract_year AS INT), person_id FROM snapshots)
+GROUP BY GROUPING SETS ((name, year), (name))""")

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,16 +21,16 @@ from annualis.operators.assemble import with_income_lag
 from annualis.operators.attributes import full_year_before
 from annualis.operators.income import person_income, work_income
 from annualis.session import configure
-from annualis.plans import SHARED, build_panel, stage_tables as plan_tables
+from annualis.plans import SHARED, build_panel, run, stage_tables as plan_tables
 from annualis.sources import layouts
 from annualis.sources.naming import source_identity
-from annualis.sources.scan import scan_raw
-from annualis.sources.stages import write_stage
+from annualis.sources.scan import scan_quality, scan_raw, source_report
+from annualis.sources.stages import read_summary, write_stage, write_summary
+from catalog.delivery import PROJECTION, deliver, lines
 from catalog.projections import PROJECTIONS, tables_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 MONTHS = range(1, 13)
-EXTRACTS = range(2011, 2018)  # the years of the test tables, moved by 16
 CLEAN_KEYS = ["person_id", "entry_date", "exit_date", "firm_cc2"]
 
 
@@ -44,7 +45,11 @@ def source_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def projection(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The projection over whole tables. Line items are dealt by the key of their join with orders,
+    which a large table needs anyway; in a small one it spreads a file that comes in one piece."""
     tables = {t: source_table(spark, sf, t) for t in tables_of(name)}
+    if "lineitem" in tables:
+        tables["lineitem"] = tables["lineitem"].repartition("l_orderkey")
     return spark.sql(PROJECTIONS[name], **tables)
 
 
@@ -160,16 +165,70 @@ def stage_tables(spark, sf):
         *[f"contribution_{m}" for m in MONTHS])
 
 
+def scanned(spark, sf, source: str) -> DataFrame:
+    """A source written as text, all extracts in one job, and scanned again. Some rows are short, long,
+    quoted or hold bad bytes, none of which changes what the layouts read."""
+    root = f"{shared_folder(spark)}/raw"
+    deliver(lines(projection(spark, sf, PROJECTION[source]), source, odd=True), root, source)
+    return scan_raw(spark, root, source)
+
+
 @query
 def scan_files(spark, sf):
-    """Person records written as delimited text, one folder per extract year, scanned again."""
+    """Person records of all extracts from text."""
+    return layouts.read_persons(scanned(spark, sf, "PERSONAL"))
+
+
+@query
+def scan_households(spark, sf):
+    return layouts.read_households(scanned(spark, sf, "CONVIVIR"))
+
+
+@query
+def scan_episodes(spark, sf):
+    return layouts.read_episodes(scanned(spark, sf, "AFILIAD"))
+
+
+@query
+def scan_contributions(spark, sf):
+    return layouts.read_contributions(scanned(spark, sf, "COTIZA"))
+
+
+@query
+def scan_payments(spark, sf):
+    return layouts.read_payments(scanned(spark, sf, "FISCAL"))
+
+
+@query
+def scan_pensions(spark, sf):
+    return layouts.read_pensions(scanned(spark, sf, "PRESTAC"))
+
+
+@query
+def scan_file_numbers(spark, sf):
+    return layouts.read_file_numbers(scanned(spark, sf, "DIVISION"))
+
+
+@query
+def scan_ledger(spark, sf):
+    """Rows of all sources by extract and part, with those that are short, long or undecodable."""
+    root = f"{shared_folder(spark)}/raw"
+    for source, name in PROJECTION.items():
+        deliver(lines(projection(spark, sf, name), source, odd=True), root, source)
+    return scan_quality(spark, root)
+
+
+@query
+def source_files(spark, sf):
+    """What is read of parts, a second spelling and a copy in a folder below."""
     root = f"{shared_folder(spark)}/raw"
-    fields = projection(spark, sf, "raw_persons")
-    for year in EXTRACTS:
-        lines = fields.filter(F.col("extract_year") == year).select(
-            F.concat_ws(";", *[c for c in fields.columns if c.startswith("c")]).alias("line"))
-        lines.write.mode("overwrite").text(f"{root}/{year}/XYZ{year}PERSONAL_CDF.TXT")
-    return layouts.read_persons(scan_raw(spark, root, "PERSONAL"))
+    deliver(lines(projection(spark, sf, "raw_episodes"), "AFILIAD"), root, "AFILIAD")
+    for ending in ("_CDF.TXT", "_CDF.txt"):
+        deliver(lines(projection(spark, sf, "raw_payments"), "FISCAL"), root, "FISCAL", ending=ending)
+    for folder in ("", "old/"):
+        deliver(lines(projection(spark, sf, "raw_persons"), "PERSONAL"), root, "PERSONAL", folder)
+    report = source_report(spark, root)
+    return report.select("year", "source", "part", "status").distinct()
 
 
 # Scalars and predicates
@@ -268,6 +327,17 @@ def entity_latest(spark, sf):
     return op.consolidate_entity(snapshots(spark, sf).drop("snapshot_order"))
 
 
+@query
+def entity_incremental(spark, sf):
+    """Persons from the written state of all extracts but the newest, merged with the newest one's."""
+    rows = snapshots(spark, sf).drop("snapshot_order")
+    newest = rows.agg(F.max("extract_year")).first()[0]
+    before = op.entity_state(rows.filter(F.col("extract_year") < newest))
+    kept = write_stage(before, shared_folder(spark), "person_state")
+    state = op.merge_entity_states(kept, op.entity_state(rows.filter(F.col("extract_year") == newest)))
+    return op.entity_of_state(state)
+
+
 @query
 def rectangularise(spark, sf):
     persons = entity_latest(spark, sf)
@@ -377,6 +447,25 @@ def row_counts(spark, sf):
     return op.row_counts(clean_episodes(spark, sf))
 
 
+@query
+def person_report(spark, sf):
+    """Rows and persons of three tables by year and in all, exact and estimated from sketches: those of
+    all years are merged from the years'."""
+    tables = {"contributions": projection(spark, sf, "contributions"), "payments": projection(spark, sf, "payments"),
+              "snapshots": projection(spark, sf, "snapshots").withColumnRenamed("extract_year", "year")}
+    rows = reduce(DataFrame.union, [t.select(F.lit(n).alias("name"), F.col("year").cast("int").alias("year"), "person_id")
+                                    for n, t in tables.items()])
+    years = write_stage(op.person_states(rows, ["name", "year"]), shared_folder(spark), "person_states")
+    every = op.merge_states(years, ["name"]).select("name", F.lit(None).cast("int").alias("year"), "n_rows", "sketch")
+    told = op.estimated(years.unionByName(every))
+    exact = op.exact(rows, ["name", "year"]).unionByName(
+        op.exact(rows, ["name"]).withColumn("year", F.lit(None).cast("int")))
+    same = (told["name"] == exact["name"]) & told["year"].eqNullSafe(exact["year"])
+    off = F.abs(F.col("n_estimated") - F.col("n_entities"))
+    return told.join(exact, same).select(
+        told["name"], told["year"], "n_rows", "n_entities", (off <= F.col("n_entities") * op.ERROR + 1).alias("within_error"))
+
+
 # Firms
 
 
@@ -518,8 +607,43 @@ def panel(spark, sf):
     return panel_rows(spark, sf)
 
 
+def rounded(summary: DataFrame) -> DataFrame:
+    return summary.select("year", "n_persons", *[
+        F.round(c, 4).alias(c) for c in ("mean_real_wage", "mean_real_tot_inc", "mean_days")])
+
+
 @query
 def panel_summary(spark, sf):
-    out = op.panel_summary(panel_rows(spark, sf))
-    return out.select("year", "n_persons", *[
-        F.round(c, 4).alias(c) for c in ("mean_real_wage", "mean_real_tot_inc", "mean_days")])
+    return rounded(op.panel_summary(panel_rows(spark, sf)))
+
+
+@query
+def panel_lacking(spark, sf):
+    """The panel of sources without firm identifiers and ages; payments in kind counted once, and lags of
+    calendar years."""
+    table = plan_tables(spark, shared_folder(spark), keep=SHARED)
+    return build_panel(sources(spark, sf), table=table, inkind="once", calendar_lags=True, without=("firm_id", "age"))
+
+
+def delivered_run(spark, sf) -> str:
+    """The folder of a run from delivered text to the published panel."""
+    folder = shared_folder(spark)
+    for source, name in PROJECTION.items():
+        deliver(lines(projection(spark, sf, name), source), f"{folder}/raw", source)
+    run(spark, f"{folder}/raw", f"{folder}/out")
+    return folder
+
+
+@query
+def staged_run(spark, sf):
+    """Text to panel in stages, and resumed: only the last stage is built again."""
+    folder = delivered_run(spark, sf)
+    return run(spark, f"{folder}/raw", f"{folder}/out", from_stage=7)
+
+
+@query
+def staged_summary(spark, sf):
+    """The yearly summary as written for other tools, read back."""
+    folder = shared_folder(spark)
+    write_summary(op.panel_summary(panel_rows(spark, sf)), folder)
+    return rounded(read_summary(spark, folder))

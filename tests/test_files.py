@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 from annualis import codes
 from annualis.operators import classify_episode
 from annualis.sources.naming import source_identity
-from annualis.sources.scan import scan_raw, source_report
-from annualis.sources.stages import has_stage, same_options, write_stage
+from annualis.plans import run, run_report
+from annualis.plans.panel import DEPENDS, STAGES, table_keys
+from annualis.sources.scan import list_files, scan_quality, scan_raw, source_report
+from annualis.sources.stages import (
+    MANIFEST, Versions, has_stage, publish, read_manifest, read_stage, read_summary, write_stage,
+)
 
 
 @pytest.fixture
@@ -51,13 +55,136 @@ def test_half_written_stages_do_not_count(spark, tmp_path):
     assert not has_stage(spark, root, "half") and not has_stage(spark, root, "absent")
 
 
-def test_resuming_needs_the_same_options(spark, tmp_path):
+def test_copies_in_folders_below_are_not_read(spark, tmp_path):
+    """The file nearest to the root counts, with all its pieces."""
+    for f, lines in {"2015/XYZ2015FISCAL_CDF.TXT": 1, "2015/old/XYZ2015FISCAL_CDF.TXT": 5,
+                     "2016/b/XYZ2016FISCAL_CDF.TXT/part-00000": 1, "2016/b/XYZ2016FISCAL_CDF.TXT/part-00001": 1,
+                     "2016/b/c/XYZ2016FISCAL_CDF.TXT/part-00000": 7, "2017/a b [1]/XYZ2017FISCAL_CDF.TXT": 3}.items():
+        (tmp_path / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f).write_text("1;A;7\n" * lines)
+    rows = scan_raw(spark, str(tmp_path), "FISCAL").groupBy("extract_year").count().collect()
+    assert {r["extract_year"]: r["count"] for r in rows} == {2015: 1, 2016: 2, 2017: 3}
+    status = [r["status"] for r in source_report(spark, str(tmp_path)).collect()]
+    assert sorted(status) == ["duplicate"] * 2 + ["read"] * 4
+
+
+def test_parts_that_extracts_are_not_made_of(spark, tmp_path):
+    for f in ("2012/XYZ2012AFILIAD3_CDF.TXT", "2012/XYZ2012AFILIAD4_CDF.TXT", "2013/XYZ2013AFILIAD4_CDF.TXT",
+              "2013/XYZ2013COTIZA13_CDF.TXT", "2013/XYZ2013COTIZA14_CDF.TXT", "2013/XYZ2013AFILIAD_CDF.TXT"):
+        (tmp_path / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f).write_text("x\n")
+
+    def left_out(**options):
+        return sorted(r["path"].split("/")[-1][3:-8] for r in source_report(spark, str(tmp_path), **options).collect()
+                      if r["status"] == "left out")
+    assert left_out() == ["2012AFILIAD4", "2013AFILIAD", "2013COTIZA14"]
+    assert left_out(limits={"AFILIAD": [(9999, 4)]}) == ["2013AFILIAD"]
+    files = list_files(spark, str(tmp_path), 2013, 2013)
+    assert {(f.source, f.part) for f in files} == {("AFILIAD", 4), ("COTIZA", 13)}
+    assert scan_raw(spark, str(tmp_path), "AFILIAD", files=files).count() == 1
+    none = scan_raw(spark, str(tmp_path), "PERSONAL", files=files)
+    assert none.count() == 0 and none.columns == scan_raw(spark, str(tmp_path), "AFILIAD", files=files).columns
+
+
+def test_ledger_of_rows(spark, tmp_path):
+    whole = ";".join(["p"] * 11)
+    lines = [whole, whole.encode() + b";\xff", "p;2017;20", '"a;b";' + whole, ";".join(["p"] * 48), ";".join(["p"] * 49)]
+    (tmp_path / "2017").mkdir()
+    (tmp_path / "2017/XYZ2017PRESTAC_CDF.TXT").write_bytes(
+        b"\n".join(x if isinstance(x, bytes) else x.encode() for x in lines) + b"\n")
+    row = scan_quality(spark, str(tmp_path)).first()
+    assert tuple(row) == ("PRESTAC", 2017, None, 6, 1, 1, 1)
+    rows = scan_raw(spark, str(tmp_path), "PRESTAC", ledger=True).select("n_fields", "undecodable").collect()
+    assert [tuple(r) for r in rows] == [(11, False), (12, True), (3, False), (12, False), (48, False), (49, False)]
+
+
+def test_the_manifest_changes_in_one_step(spark, tmp_path):
     root = str(tmp_path)
-    same_options(spark, root, "a", resume=False)
-    same_options(spark, root, "a", resume=True)
-    with pytest.raises(ValueError):
-        same_options(spark, root, "b", resume=True)
-    same_options(spark, root, "b", resume=False)
+    assert read_manifest(spark, root) == {}
+    publish(spark, root, {"tables": {}, "n": 1})
+    publish(spark, root, {"tables": {}, "n": 2})
+    assert read_manifest(spark, root)["n"] == 2
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == [MANIFEST]
+
+
+def test_versions(spark, tmp_path):
+    """A whole version is taken over, a half one is not, and only published ones outlive pruning."""
+    first, root = Versions(spark, str(tmp_path)), str(tmp_path)
+    first.table("t", "k1", lambda: spark.range(3))
+    (tmp_path / "t" / f"k1-{first.run}" / "_SUCCESS").unlink()
+    second = Versions(spark, root)
+    assert second.table("t", "k1", lambda: spark.range(4)).count() == 4 and second.tables["t"]["built"]
+    third = Versions(spark, root)
+    assert third.table("t", "k1", lambda: spark.range(9)).count() == 4 and not third.tables["t"]["built"]
+    assert third.table("t", "k1", lambda: spark.range(9), reuse=False).count() == 9
+    publish(spark, root, {"tables": third.tables})
+    assert read_stage(spark, root, "t").count() == 9
+    assert len(third.prune()) == 2 and read_stage(spark, root, "t").count() == 9
+
+
+def test_keys_change_with_what_decides_a_table(spark, raw):
+    files = list_files(spark, raw)
+    keys = table_keys(files, 2005, 2024, {})
+    assert set(keys) == set(DEPENDS) == {n for names in STAGES.values() for n in names}
+
+    def changed(files=files, first=2005, **options):
+        return {n for n, k in table_keys(files, first, 2024, options).items() if k != keys[n]}
+    assert changed() == set() and changed(first=2006) == set(keys)
+    assert changed(per_key="max") == {"annual", "annual_demographics", "panel"}
+    assert changed(names={"days": "d"}) == changed(inkind="once") == {"panel"}
+    assert changed(files[1:]) == {"income", "income_work", "income_person", "income_pension", "panel"}
+
+
+def person_file(folder, year, birth):
+    (folder / str(year)).mkdir(parents=True, exist_ok=True)
+    (folder / str(year) / f"XYZ{year}PERSONAL_CDF.TXT").write_text(f"p1;{birth};1;N34;N28;28;28079;;N34;43\n")
+    (folder / str(year) / f"XYZ{year}AFILIAD1_CDF.TXT").write_text(
+        "p1;111;;100;;20160201;20161231;;;F1;28079;1;5;19900101;1;;;A;7;C1;;;;;;;;;;2\n")
+
+
+def test_a_run_that_died_is_taken_up_with_the_right_tables(spark, tmp_path, monkeypatch):
+    """A crash between stages, other options and other files: what is still right is read, the rest is
+    built, and readers see the last whole run."""
+    from annualis.plans import panel as plan
+
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    person_file(source, 2016, "198003")
+    before = run(spark, str(source), out, 2016, 2017, ledger=True)
+    assert [r["birth_year"] for r in before.collect()] == [1980]
+    manifest = read_manifest(spark, out)
+    assert manifest["quality"]["PERSONAL"] == {"n_rows": 1, "n_short": 0, "n_long": 0, "n_undecodable": 0}
+    report = {r["name"]: (r["built"], r["n_rows"], r["n_persons"]) for r in run_report(spark, out).collect()}
+    assert report["persons"] == report["panel"] == (True, 1, 1)
+
+    def dies(*_, **__):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(plan, "demographics_join", dies)
+        with pytest.raises(RuntimeError):
+            run(spark, str(source), out, 2016, 2017, per_key="max")
+    assert read_manifest(spark, out) == manifest  # the old run is what readers see
+    run(spark, str(source), out, 2016, 2017, from_stage=8, per_key="max")
+    built = {n for n, t in read_manifest(spark, out)["tables"].items() if t["built"]}
+    # the tables that the dead run had written with the new option are there; the panel's are not
+    assert built == {"annual_demographics", "panel"}
+    run(spark, str(source), out, 2016, 2017, from_stage=8)
+    assert not any(t["built"] for t in read_manifest(spark, out)["tables"].values())
+    assert {r["n_rows"] for r in run_report(spark, out).collect() if r["name"] == "panel"} <= {1, None}
+
+    person_file(source, 2016, "199003")
+    after = run(spark, str(source), out, 2016, 2017, from_stage=8)
+    tables = read_manifest(spark, out)["tables"]
+    assert [r["birth_year"] for r in after.collect()] == [1990]
+    assert tables["persons"]["built"] and not tables["income"]["built"]
+    assert [(r["year"], r["n_persons"]) for r in read_summary(spark, out).collect()] == [(2016, 1)]
+
+
+def test_a_folder_without_a_manifest_is_built_anew(spark, tmp_path):
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    person_file(source, 2016, "198003")
+    write_stage(spark.range(3), out, "persons")  # of somebody else
+    assert run(spark, str(source), out, 2016, 2017, from_stage=8).count() == 1
+    assert read_manifest(spark, out)["tables"]["persons"]["built"]
 
 
 def test_episodes_may_lack_columns(spark):

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from annualis import operators as op
-from annualis.functions import scattered_join
+from annualis.functions import prefilter, scattered_join
+from annualis.functions.lookups import packed_filter
 from annualis.operators.income import income_by_firm
 from catalog.queries import QUERIES, clean_episodes, merged_contributions, projection
 
@@ -117,6 +118,35 @@ def test_hot_person_is_spread(spark):
         assert spread.count() == plain.count() == 60_000
 
 
+def test_cohort_is_applied_before_the_shuffle(spark):
+    """Facts of other extracts are dropped where they are read, by a filter of bounded size."""
+    facts = spark.range(40_000).select((F.col("id") % 2000).alias("person_id"), F.col("id").alias("row"),
+                                       (2000 + F.col("id") % 20).cast("smallint").alias("extract_year"))
+    cohort = spark.range(2000).select(F.col("id").cast("int").alias("person_id"),
+                                      (2000 + F.col("id") % 20).cast("smallint").alias("last_extract"))
+    with shuffled(spark):
+        kept = op.restrict_to_cohort(facts, cohort, ["row"])
+        text = plan(kept)
+        side = text[:text.index("Exchange hashpartitioning(person_id")]
+        assert "BroadcastHashJoin" in text[len(side):] and "BroadcastHashJoin" not in side
+        lookup = cohort.withColumnRenamed("last_extract", "extract_year")
+        near = prefilter(facts, lookup, ["person_id", "extract_year"])
+        assert near.columns == facts.columns
+        assert kept.count() == 40_000 and near.count() == 40_000
+        moved = facts.withColumn("extract_year", (2000 + F.col("row") % 19).cast("smallint"))
+        want = op.restrict_to_cohort(moved, cohort, ["row"], filter_slots=0).count()
+        assert op.restrict_to_cohort(moved, cohort, ["row"]).count() == want
+        assert want <= prefilter(moved, lookup, ["person_id", "extract_year"]).count() <= want + 20
+
+
+def test_filter_is_packed(spark):
+    """64 slots a row, whatever the number of keys; none that is there is lost."""
+    lookup = spark.range(50_000).withColumnRenamed("id", "k")
+    rows = packed_filter(lookup, ["k"], 1 << 10).collect()
+    assert len(rows) == 16 and all(r["bits"] == -1 for r in rows)
+    assert prefilter(lookup, lookup, ["k"], 1 << 14).count() == 50_000
+
+
 def test_unwanted_rows_do_not_gather(spark):
     """Most rows have no identifier to repair; they share one account and still spread."""
     facts = spark.range(60_000).withColumn("k", F.lit("same"))
