@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annualis.llm.automaton import Automaton
@@ -27,8 +27,8 @@ LANES = 64
 MULTIPLIERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
 def run_hashes(hashes: np.ndarray, size: int, multiplier: np.uint64) -> np.ndarray:
@@ -99,7 +99,7 @@ def _block_rows(window: int):
                                                       for c in ("doc_id", "th", "text", "ranges"))):
                     words = text.encode().split()
                     for owner, parts, w1, w2 in _merged(ranges):
-                        salt = xxhash.xxh64_intdigest(str(doc_id).encode()) % parts
+                        salt = xxhash.xxh64_intdigest(f"{doc_id}:{th}".encode()) % parts
                         out += [(owner, salt, parts, doc_id, th, w, b" ".join(words[w:min(w + BLOCK, w2 + 1) + window - 1]))
                                 for w in range(w1, w2 + 1, BLOCK)]
                 if out:
@@ -128,19 +128,20 @@ class _Shard:
         self.window, self.automaton, self.ids = window, Automaton(), {}
 
     def add(self, doc_id: int, words: list[bytes]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-        """Stretches of windows that an earlier document has, and of those that are new."""
+        """Stretches of windows that an earlier document has, and of those that none has, be they new
+        or this document's own from before."""
         ids = self.ids
         numbers = [ids.setdefault(w, len(ids)) for w in words]
         found = self.automaton.matches(numbers, self.window)[self.window - 1:]
         earlier = list(_stretches([d is not None and d < doc_id for d in found]))
-        new = list(_stretches([d is None for d in found]))
-        for a, b in new:
+        for a, b in _stretches([d is None for d in found]):
             self.automaton.insert(numbers[a:b + self.window], doc_id)
-        return earlier, new
+        return earlier, list(_stretches([d is None or d == doc_id for d in found]))
 
 
 def _match_rows(window: int):
-    """Covered windows (h1 null), and the new windows of shards that were split, by hash."""
+    """Covered windows (h1 null), and by hash the windows of split shards that no earlier document in
+    the part has."""
     names = ["doc_id", "th", "w1", "w2", "h1", "h2"]
 
     def run(batches):
@@ -152,13 +153,13 @@ def _match_rows(window: int):
                 if group != (owner, salt):
                     group, shard = (owner, salt), _Shard(window)
                 words = text.split()
-                earlier, new = shard.add(doc_id, words)
+                earlier, first = shard.add(doc_id, words)
                 out += [(doc_id, th, start + a, start + b, None, None) for a, b in earlier]
-                if parts > 1 and new:
-                    hashes = word_hashes(words)
-                    two = [run_hashes(hashes, window, m).view(np.int64).tolist() for m in MULTIPLIERS]
+                if parts > 1 and first:
+                    two = [run_hashes(word_hashes(words, seed), window, m).view(np.int64).tolist()
+                           for seed, m in enumerate(MULTIPLIERS)]
                     out += [(doc_id, th, start + w, start + w, two[0][w], two[1][w])
-                            for a, b in new for w in range(a, b + 1)]
+                            for a, b in first for w in range(a, b + 1)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
     return run
@@ -177,7 +178,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, shard_words: int = S
              .select("owner", F.ceil(F.col("words") / shard_words).alias("parts")).filter("parts > 1"))
     # The few split owners are repeated for each lane, so that their many rows go to many tasks.
     lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
-    ranges = (placed.withColumn("lane", F.pmod(F.xxhash64("doc_id"), F.lit(LANES)).cast("int"))
+    ranges = (placed.withColumn("lane", F.pmod(F.xxhash64("doc_id", "th"), F.lit(LANES)).cast("int"))
               .join(sizes.withColumn("lane", lanes), ["owner", "lane"], "left")
               .groupBy("doc_id", "th").agg(F.collect_set(F.struct(
                   "owner", "w1", "w2", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("ranges")))
@@ -187,10 +188,11 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, shard_words: int = S
         blocks.repartition("owner", "salt").sortWithinPartitions("owner", "salt", "doc_id", "th", "start")
         .mapInArrow(_match_rows(window), "doc_id long, th long, w1 long, w2 long, h1 long, h2 long"),
         "substring-matches")
-    # A window that is new in its part of a shard may be older in another part: a part has it once.
-    other = (matched.filter("h1 IS NOT NULL")
-             .withColumn("least", F.min("doc_id").over(Window.partitionBy("h1", "h2")))
-             .filter("least < doc_id"))
+    # What nobody has before in its part of a shard may be older in another part.
+    hashed = matched.filter("h1 IS NOT NULL")
+    older = (hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+             .filter("least < most").drop("most"))
+    other = hashed.join(older, ["h1", "h2"]).filter("least < doc_id")
     names = ["doc_id", "th", "w1", "w2"]
     return matched.filter("h1 IS NULL").select(*names).union(other.select(*names))
 
