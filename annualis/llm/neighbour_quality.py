@@ -97,7 +97,9 @@ def held_out(doc_id) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "quality") -> Neighbours:
     """Fits on at most max_labelled labelled rows that are not held out: those with the least hash
-    of their id. Labels that are null are no labels. Without any, every score is 0.5."""
+    of their id. Labels that are null are no labels. Without any, every score is 0.5. Of several
+    rows with the same id in docs the smallest text counts, so max_labelled rows reach the driver
+    at most."""
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .dropna().filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label")))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
@@ -113,15 +115,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id
                     [part.column("doc_id"), part.column("label"), pa.array(sent, pa.binary())],
                     ["doc_id", "label", "terms"])
 
-    rows = (texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")  # max_labelled narrow rows
+    chosen = (texts(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")  # max_labelled narrow rows
+              .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    rows = (chosen
             .mapInArrow(terms, "doc_id long, label int, terms binary").toArrow())
     rows = rows.sort_by([("doc_id", "ascending"), ("terms", "ascending")])
     matrix = np.zeros((rows.num_rows, TERMS + REPEATS), dtype=np.float32)
     for r, sent in enumerate(rows["terms"]):
         _unpack(sent.as_py(), matrix[r])
-    chosen = rows["label"].to_numpy().astype(np.float64)
+    marks = rows["label"].to_numpy().astype(np.float64)
     del rows
-    return fit_vectors(matrix, chosen)
+    return fit_vectors(matrix, marks)
 
 
 def _packed(row: np.ndarray) -> bytes:
