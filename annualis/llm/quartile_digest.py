@@ -99,16 +99,19 @@ def _compared(ids: list, texts_: list[str], found: np.ndarray) -> list[list]:
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """How fingerprints tell an edited text from the next document.
 
-    In descending doc_id (equal ones by text; null last), the last third of each text is replaced by
+    In descending doc_id (null last; equal ones by hash of the text, then by text), the last third of each text is replaced by
     the start of the next one (after the last: the first). Returns doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited and near_next. A null text counts as empty.
 
-    Rows are range-partitioned by doc_id and streamed in order, so a row meets the next one in its
-    own task. The first and last row of each partition are written out and meet in a join of one
+    Rows are range-partitioned by doc_id, hash and number, so that rows of one id spread too, and
+    streamed in order, so a row meets the next one in its own task. The first and last row of each partition are written out and meet in a join of one
     row per partition.
     """
-    ordered = texts(docs, id_col, text_col).repartitionByRange(F.desc("doc_id")).sortWithinPartitions(
-        F.desc("doc_id"), "text")
+    # The number only parts repeated rows; it is the same if a task runs again.
+    ties = [F.desc("doc_id"), "th", "text", "row"]
+    ordered = (texts(docs, id_col, text_col)
+               .withColumns({"th": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+               .repartitionByRange(F.desc("doc_id"), "th", "row").sortWithinPartitions(*ties).select("doc_id", "text"))
 
     def stream(batches):
         forget()
