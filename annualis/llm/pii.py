@@ -1,10 +1,11 @@
 """Personal data by candidate gradient boosting, with native columns only.
 
 Exact patterns give base spans. Further generators propose overlapping spans with high recall;
-boosted trees score them by format and context, and a threshold calibrated on held-out documents
-selects those that are added. The trees learn from all candidates of the input: one that overlaps a
-base span is an example of personal data, any other one is not. As the features are few small
-integers, what the driver gets to fit on is one row per combination, however large the input.
+boosted trees score them by format and context, and thresholds calibrated on held-out documents, one
+for each kind, select those that are added. The trees learn from all candidates of the input: one
+that overlaps a base span, or whose plain spelling is one, is an example of personal data, any other
+one is not. As the features are few small integers, what the driver gets to fit on is one row per
+combination, however large the input.
 """
 
 from dataclasses import dataclass, field
@@ -24,13 +25,18 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 KINDS = ("email", "ip", "card", "phone")
 
-NUMBER = r"(?<![0-9A-Za-z.+-])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])"
-SPELT_EMAIL = r"[A-Za-z0-9._%+-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]{1,63})+"
+# Generators: numbers of seven digits or more, and whatever is written like an address with its @ as a
+# word. Runs are possessive and guarded, so none is matched from its middle, however long.
+NUMBER = r"(?<![0-9A-Za-z.+-])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z])"
+AT, DOT = r"(?i: ?[(\[{] ?at ?[)\]}] ?)", r"(?i: ?[(\[{] ?dot ?[)\]}] ?)"
+SPELT_EMAIL = (rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++"
+               rf"(?:(?:\.|{DOT})[A-Za-z0-9-]++)*+")
+ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
 CUES = ((1, r"(?i)tel|phone|call|fax|mobil"), (2, r"(?i)card|visa|account|iban"),
         (3, r"(?i)\bip\b|host|server"), (4, r"(?i)mail"))
 CONTEXT = 32  # code points before a candidate in which cues count
 
-FEATURES = ("n_digits", "n_seps", "parens", "dots", "before", "after", "cue")
+FEATURES = ("n_digits", "n_seps", "parens", "dots", "spelt", "before", "after", "cue")
 ROUNDS, RATE, SMOOTH = 24, 0.3, 1.0
 PRECISION = 0.95
 SPAN = "struct<kind:string,rank:int,start:int,end:int>"
@@ -43,7 +49,7 @@ def base_columns(text: Column) -> dict[str, Column]:
             "m_ip": found(text, IP), "m_card": found(text, CARD),
             "m_phone": F.when(F.contains(text, F.lit("+")), found(text, PHONE)).otherwise(none),
             "m_number": found(text, NUMBER),
-            "m_spelt": F.when(text.rlike(r"[(\[]at[)\]]"), found(text, SPELT_EMAIL)).otherwise(none)}
+            "m_spelt": F.when(text.rlike(r"(?i)[(\[{] ?at ?[)\]}]"), found(text, SPELT_EMAIL)).otherwise(none)}
 
 
 def _valid(kind: str):
@@ -55,7 +61,8 @@ def _valid(kind: str):
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds base (array of SPAN) and candidates (array of SPAN with features) to docs."""
+    """Adds base (array of SPAN) and candidates (array of SPAN with features, label, and whether they
+    overlap a base span) to docs."""
     docs = docs.withColumns(base_columns(F.col(text)))
     patterns = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
     base = F.concat(*[ranked(F.filter(located(F.col(text), p, F.col(f"m_{k}")), _valid(k)), k, r)
@@ -65,14 +72,17 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.withColumns({"base": base, "numbers": F.concat(numbers, spelt)})
     candidates = F.transform(F.col("numbers"), lambda s: _features(F.col(text), s))
     docs = docs.withColumn("candidates", candidates)
-    labelled = F.transform(F.col("candidates"), lambda c: c.withField("label", F.exists(
-        "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])).cast("int")))
+    labelled = F.transform(F.col("candidates"), lambda c: c.withField("known", F.exists(
+        "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))))
+    labelled = F.transform(labelled, lambda c: c.withField("label", (c["known"] | c["address"]).cast("int")))
     names = [*base_columns(F.lit("")), "numbers"]
     return docs.withColumn("candidates", labelled).drop(*names)
 
 
 def _features(text: Column, s: Column) -> Column:
     match, n = s["match"], F.length(digits(s["match"]))
+    at = F.when(match.rlike("[A-Za-z]"), match)  # numbers hold no letters
+    plain = F.regexp_replace(F.regexp_replace(at, AT, "@"), DOT, ".")
     before = F.substring(text, F.greatest(F.lit(1), s["start"] + 1 - CONTEXT),
                          F.least(F.lit(CONTEXT), s["start"]))
     after = F.substring(text, s["end"] + 1, F.lit(1))
@@ -86,9 +96,11 @@ def _features(text: Column, s: Column) -> Column:
         kind.alias("kind"), rank.cast("int").alias("rank"), s["start"].alias("start"), s["end"].alias("end"),
         F.least(n, F.lit(20)).alias("n_digits"),
         F.least(F.length(F.regexp_replace(match, "[^ .-]", "")), F.lit(5)).alias("n_seps"),
-        match.rlike(r"[()]").cast("int").alias("parens"), match.rlike(r"\.").cast("int").alias("dots"),
+        match.rlike(r"[()]").cast("int").alias("parens"),
+        F.coalesce(plain, match).rlike(r"\.[^@]*$").cast("int").alias("dots"), at.isNotNull().cast("int").alias("spelt"),
         F.when(before == "", 0).when(before.rlike(r"\s$"), 1).otherwise(2).alias("before"),
-        F.when(after == "", 0).when(after.rlike(r"\s"), 1).otherwise(2).alias("after"), cue.alias("cue"))
+        F.when(after == "", 0).when(after.rlike(r"\s"), 1).otherwise(2).alias("after"), cue.alias("cue"),
+        F.coalesce(plain.rlike(ADDRESS), F.lit(False)).alias("address"))
 
 
 @dataclass
@@ -96,7 +108,7 @@ class Trees:
     """Boosted trees of depth two over FEATURES: (feature, cut, ((feature, cut, low, high), ...))."""
     bias: float = 0.0
     nodes: list = field(default_factory=list)
-    threshold: float = np.inf  # margin from which a candidate is added
+    thresholds: dict[int, float] = field(default_factory=dict)  # by rank of the kind: margin from which one is added
 
     def margin(self, rows: np.ndarray) -> np.ndarray:
         out = np.full(len(rows), self.bias)
@@ -145,11 +157,12 @@ def fit_trees(rows: np.ndarray, positive: np.ndarray, total: np.ndarray) -> Tree
 
 
 def calibrate(trees: Trees, rows: np.ndarray, positive: np.ndarray, total: np.ndarray) -> float:
-    """The least margin from which at least PRECISION of the held-out candidates are positive."""
+    """The least margin from which at least PRECISION of the held-out candidates are positive, and one
+    at least is."""
     margin = trees.margin(rows)
     for m in np.unique(margin):
         chosen = margin >= m
-        if positive[chosen].sum() >= PRECISION * total[chosen].sum():
+        if positive[chosen].sum() >= max(1, PRECISION * total[chosen].sum()):
             return float(m)
     return np.inf
 
@@ -158,15 +171,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tree
     """Learns from all candidates of docs; every fifth document by hash calibrates the threshold."""
     rows = with_spans(_texts(docs, id_col, text_col)).filter("size(candidates) > 0")
     grid = (rows.select((F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("held"), F.explode("candidates").alias("c"))
-            .groupBy("held", *[F.col(f"c.{f}").alias(f) for f in FEATURES])
+            .groupBy("held", F.col("c.rank").alias("rank"), *[F.col(f"c.{f}").alias(f) for f in FEATURES])
             .agg(F.sum("c.label").alias("positive"), F.count("*").alias("total"))
-            .orderBy("held", *FEATURES).collect())  # one row per combination of small integers
+            .orderBy("held", "rank", *FEATURES).collect())  # one row per combination of small integers
     table = np.array([[r[f] for f in FEATURES] for r in grid], dtype=np.int64).reshape(-1, len(FEATURES))
     held = np.array([r["held"] for r in grid], dtype=bool)
     positive, total = (np.array([r[c] for r in grid], dtype=np.float64) for c in ("positive", "total"))
     trees = fit_trees(table[~held], positive[~held], total[~held])
-    if held.any():
-        trees.threshold = calibrate(trees, table[held], positive[held], total[held])
+    ranks = np.array([r["rank"] for r in grid], dtype=np.int64)
+    for rank in np.unique(ranks[held]).tolist():
+        mine = held & (ranks == rank)
+        least = calibrate(trees, table[mine], positive[mine], total[mine])
+        if least < np.inf:
+            trees.thresholds[rank] = least
     return trees
 
 
@@ -175,19 +192,25 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame
 
 
 def chosen(trees: Trees) -> Column:
-    """Base spans and the candidates that the trees add: those that overlap no base span."""
-    added = F.filter("candidates", lambda c: (c["label"] == 0) & (trees.column(c) >= F.lit(trees.threshold)))
-    if trees.threshold == np.inf:
+    """Base spans and the candidates that the trees add: those that overlap no base span and reach
+    the threshold of their kind."""
+    if not trees.thresholds:
         return F.col("base")
-    return F.concat("base", F.transform(added, lambda c: F.struct(c["kind"], c["rank"], c["start"], c["end"])
-                                        .cast(SPAN)))
+
+    def wanted(c):
+        least = F.lit(None).cast("double")
+        for rank, value in trees.thresholds.items():
+            least = F.when(c["rank"] == rank, F.lit(value)).otherwise(least)
+        return ~c["known"] & (trees.column(c) >= least)
+    return F.concat("base", F.transform(F.filter("candidates", wanted), lambda c: F.struct(
+        c["kind"], c["rank"], c["start"], c["end"]).cast(SPAN)))
 
 
 def find_pii(docs: DataFrame, trees: Trees | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Personal data of every text: doc_id, base (spans of the exact patterns) and spans (all).
 
-    A null or empty text has none. Repeated rows each come back. trees: a fitted model, else it is
-    fitted on docs.
+    A null or empty text has none. Repeated rows each come back, a null doc_id as such. An empty table
+    has no rows, and nothing is learnt from it. trees: a fitted model, else it is fitted on docs.
     """
     trees = trees or fit(docs, id_col, text_col)
     return with_spans(_texts(docs, id_col, text_col)).select("doc_id", "base", chosen(trees).alias("spans"))

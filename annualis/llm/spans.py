@@ -43,8 +43,7 @@ def luhn(c: Column) -> Column:
 
 
 def spelled(spans: Column) -> Column:
-    """kind:start:end of spans (struct with kind, rank, start, end) by start, then rank, joined by
-    commas; equal spans once."""
+    """kind:start:end of spans (struct with kind, rank, start, end) by start, then rank, joined by commas."""
     order = F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
     return F.array_join(F.transform(order, lambda s: F.concat_ws(
