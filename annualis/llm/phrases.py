@@ -19,6 +19,7 @@ Texts are split into words once: a block holds the words of many texts of a lang
 within its own dictionary.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ FILTER_SLOTS = 1 << 24
 SECTION = 1 << 20  # bytes of a long text that are split into words at a time
 BLOCK_WORDS = 1 << 17
 HELD = 1 << 21  # hashes that a task holds before it sends their counts
+HELD_PHRASES = 1 << 18
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 NEVER = 255
 
@@ -232,16 +234,25 @@ def exact_counts(found: DataFrame, times: Table, longest: int) -> DataFrame:
     language, of size 0."""
     schema = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.binary()), ("n", pa.int64())])
 
+    def flush(held):
+        rows = [(lang, size, phrase, n) for (lang, size), names in sorted(held.items()) for phrase, n in names.items()]
+        for k in range(0, len(rows), 1 << 15):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows[k:k + (1 << 15)]), schema.types)], schema=schema)
+
     def run(batches):
         table = times.get()
+        held: dict[tuple[str, int], Counter] = {}
         for batch in batches:
             for block in _blocks(batch):
                 total = int((block.begins & ~block.is_end[block.ids]).sum())
                 parts = [(0, pa.array([b""], pa.binary()), np.array([total]))]
                 for size, names, n in [*parts, *counted(block, table, longest)]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block.lang] * len(n)), pa.array([size] * len(n), pa.int8()), names,
-                         pa.array(n, pa.int64())], schema=schema)
+                    held.setdefault((block.lang, size), Counter()).update(dict(zip(names.to_pylist(), n.tolist())))
+                if sum(map(len, held.values())) > HELD_PHRASES:
+                    yield from flush(held)
+                    held = {}
+        yield from flush(held)
     return (found.mapInArrow(run, "lang string, size tinyint, phrase binary, n long")
             .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")))
 
