@@ -229,7 +229,11 @@ def decode(tokens: DataFrame, model: bytes, id_col: str = "doc_id", ids_col: str
 
 
 def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids, and whether decoding the ids gives the text back (round_trip)."""
+    """doc_id, n_tokens, ids, and whether decoding the ids gives the text back (round_trip).
+
+    A null text counts as empty, which has no ids and comes back. Repeated rows each come back, a null
+    doc_id as such; an empty table gives none. A text with U+2581 itself does not come back.
+    """
     def run(batches):
         kept = coder(model)
         for batch in batches:

@@ -90,8 +90,9 @@ def linked(found_: DataFrame, scope: int = SCOPE) -> DataFrame:
 def scan_secrets(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Secrets of every text: doc_id, base (spans of the exact patterns) and spans (all).
 
-    A null or empty text has none. Repeated rows each come back with the same spans. Weak parts that
-    overlap a base span are never reported.
+    A null or empty text has none. Repeated rows each come back with the same spans, and rows with a
+    null doc_id like any other; parts are only linked within a text. Weak parts that overlap a base span
+    are never reported. An empty table gives no rows.
     """
     rows = written(parts(docs, id_col, text_col), "secret-parts")
     extra = linked(rows, scope).withColumnsRenamed({"doc_id": "other_id", "th": "other_th"})
