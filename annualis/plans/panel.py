@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from annualis import codes
 from annualis.operators import (
     annualise, assemble_panel, attach_contributions, cohort_of, consolidate_entity,
-    demographics_join, expand_to_years, family_composition, firm_id_correction, firm_panel,
-    income_by_firm, join_household, monthly_days, panel_summary, prepare_episodes, reclassify_contract, rectangularise,
-    restrict_to_cohort, retirement_year,
+    demographics_join, entity_of_state, entity_state, expand_to_years, family_composition, firm_id_correction,
+    firm_panel, income_by_firm, join_household, merge_entity_states, monthly_days, panel_summary, prepare_episodes,
+    reclassify_contract, rectangularise, restrict_to_cohort, retirement_year,
 )
 from annualis.operators.contributions import monthly_maximum
 from annualis.operators.income import person_income, personal_income, work_income
@@ -28,7 +28,7 @@ from annualis.sources.stages import Versions, publish, read_manifest, table_key,
 
 # Stage number -> its tables. Nothing reads the RESULTS_ONLY back; WIDE ones are large copies.
 STAGES = {
-    1: ["persons", "individuals_full", "individuals_last", "episodes_typed", "firms"],
+    1: ["person_state", "persons", "individuals_full", "individuals_last", "episodes_typed", "firms"],
     2: ["episodes", "contributions", "merged"],
     3: ["monthly_days"],
     4: ["annual"],
@@ -37,7 +37,7 @@ STAGES = {
     7: ["panel"],
 }
 WIDE = {"individuals_full", "merged", "monthly_days"}
-RESULTS_ONLY = WIDE | {"firms", "income_pension"}
+RESULTS_ONLY = WIDE | {"firms", "income_pension", "person_state"}
 # The tables several steps read: enough to keep a single query from doing work twice.
 SHARED = {"persons", "individuals_last", "episodes_typed", "episodes", "contributions", "income"}
 SOURCES = ["PERSONAL", "CONVIVIR", "AFILIAD", "COTIZA", "FISCAL", "PRESTAC"]
@@ -74,20 +74,32 @@ def build_panel(raw: dict[str, DataFrame], first: int = codes.FIRST_EXTRACT,
                 table: Table = _lazy, inkind: str = "twice", per_key: str = "sum",
                 flags: str = "first", calendar_lags: bool = False,
                 names: dict[str, str] | None = None, salts: int = 16,
-                without: tuple[str, ...] = ()) -> DataFrame:
+                without: tuple[str, ...] = (),
+                known: tuple[DataFrame, set[int]] | None = None) -> DataFrame:
     """The panel from raw rows by source. ``table`` decides whether a step is materialised.
 
     ``salts`` is the number of sub-keys a person or an account is split into where raw facts
     meet a lookup; on a big cluster raise it as long as the lookups stay small beside the facts.
     ``without`` names columns that the person-years shall lack, as sources without them would have it.
+    ``known`` is a state of persons and the extracts it holds, which are not read again for persons.
     ``last_panel_year`` is the later one of ``last`` and the default extract, if it isn't given.
     """
     last_panel_year = last_panel_year or max(last, codes.LAST_EXTRACT)
 
+    def snapshots():
+        people, homes = _years(raw, "PERSONAL", first, last), _years(raw, "CONVIVIR", first, last)
+        if known:
+            new = ~F.col("extract_year").isin(sorted(known[1]))
+            people, homes = people.filter(new), homes.filter(new)
+        return join_household(layouts.read_persons(people), layouts.read_households(homes))
+
+    def person_state():
+        state = entity_state(snapshots())
+        return merge_entity_states(known[0], state) if known else state
+
     def persons():
-        people = layouts.read_persons(_years(raw, "PERSONAL", first, last))
-        homes = layouts.read_households(_years(raw, "CONVIVIR", first, last))
-        return consolidate_entity(join_household(people, homes))
+        state = table(1, "person_state", person_state)
+        return consolidate_entity(snapshots()) if state is None else entity_of_state(state)
 
     def typed_episodes():
         rows = _years(raw, "AFILIAD", first, last)
@@ -171,7 +183,8 @@ def stage_tables(spark: SparkSession, out_root: str, keep: set[str] | None = Non
 # What decides the rows of a table: the sources it is read from, the tables it is built from, and the
 # options that shape it. Options in no list (salts) change no row.
 DEPENDS: dict[str, tuple[list[str], list[str], list[str]]] = {
-    "persons": (["PERSONAL", "CONVIVIR"], [], []),
+    "person_state": (["PERSONAL", "CONVIVIR"], [], []),
+    "persons": ([], ["person_state"], []),
     "individuals_full": ([], ["persons"], ["last_panel_year"]),
     "individuals_last": ([], ["persons"], ["last_panel_year"]),
     "episodes_typed": (["AFILIAD"], [], []),
@@ -194,6 +207,22 @@ DEPENDS: dict[str, tuple[list[str], list[str], list[str]]] = {
 RULES = 1  # raise it when the rules of a table change, so that older versions are not taken over
 
 
+def _told(files: list[Row], sources: list[str]) -> list[list]:
+    return sorted([f.source, f.year, f.path, f.size, str(f.modified)] for f in files if f.source in sources)
+
+
+def _known_state(spark: SparkSession, entry: dict | None, files: list[Row]) -> tuple[DataFrame, set[int]] | None:
+    """The last run's state of persons and its extracts, if their files are all there as they were and
+    other files are of other extracts."""
+    if not entry or entry["rules"] != RULES:
+        return None
+    now = _told(files, DEPENDS["person_state"][0])
+    years = {f[1] for f in entry["files"]}
+    if sorted(f for f in now if f[1] in years) != sorted(entry["files"]):
+        return None
+    return spark.read.parquet(entry["path"]), years
+
+
 def table_keys(files: list[Row], first: int, last: int, options: dict) -> dict[str, str]:
     """The key of every table: a digest of the files (path, size, time) it is read from, the years, the
     options that shape it, and the keys of the tables below it."""
@@ -202,8 +231,7 @@ def table_keys(files: list[Row], first: int, last: int, options: dict) -> dict[s
     def key(name: str) -> str:
         if name not in keys:
             sources, tables, shaped = DEPENDS[name]
-            read = sorted((f.path, f.size, str(f.modified)) for f in files if f.source in sources)
-            keys[name] = table_key(name, rules=RULES, years=[first, last], files=read,
+            keys[name] = table_key(name, rules=RULES, years=[first, last], files=_told(files, sources),
                                    tables={t: key(t) for t in tables}, options={o: options.get(o) for o in shaped})
         return keys[name]
     for name in DEPENDS:
@@ -216,7 +244,8 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
         **options) -> DataFrame:
     """Build and write every stage table, the panel (by year) and the summary, and publish them.
 
-    The raw folder is listed once. A table is built unless it belongs to a stage before ``from_stage``
+    The raw folder is listed once. When only extracts were added, persons are merged from the last run's
+    state and the new extracts (``from_stage`` above 1). A table is built unless it belongs to a stage before ``from_stage``
     and a whole version of it is there that was built from the same files, years and options, by any
     earlier run, finished or not (``from_stage=8``: whatever is there and still right). The manifest names
     the versions of the last whole run; it is replaced in one step at the end, so what readers see
@@ -229,6 +258,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
     """
     names = {name for tables in STAGES.values() for name in tables}
     keep = names if wide_tables else names - WIDE
+    before = read_manifest(spark, out_root).get("tables", {})
     shaped = {"last_panel_year": max(last, codes.LAST_EXTRACT), "per_key": "sum", "flags": "first",
               "calendar_lags": False, "inkind": "twice", "names": None, **options}
     files = list_files(spark, raw_root, first, last)
@@ -252,13 +282,15 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
                     return out
                 # well-sized files per year: AQE splits big years and merges small ones
                 return out.hint("rebalance", "year").sortWithinPartitions("year", "person_id")
+            told = {"stage": stage}
+            if name == "person_state":
+                told |= {"files": _told(files, DEPENDS[name][0]), "rules": RULES}
             done[name] = versions.table(name, keys[name], counted, "year" if name == "panel" else None,
-                                        reuse=stage < from_stage, stage=stage)
+                                        reuse=stage < from_stage, **told)
         return done[name]
 
-    panel = build_panel(raw, first, last, table=table, **options)
+    panel = build_panel(raw, first, last, table=table, known=known, **options)
     write_summary(panel_summary(panel), out_root)
-    before = read_manifest(spark, out_root).get("tables", {})
     for name, told in versions.tables.items():
         if name in counts:
             found = counts[name].get
@@ -268,7 +300,7 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
     read = {s for n, t in versions.tables.items() if t["built"] for s in DEPENDS[n][0]}
     publish(spark, out_root, {
         "tables": versions.tables, "years": [first, last], "options": shaped,
-        "files": [[f.path, f.size, str(f.modified)] for f in files],
+        "files": _told(files, SOURCES),
         "quality": {s: o.get for s, o in seen.items() if s in read}})
     return panel
 

@@ -1,5 +1,7 @@
 """Which files are read, and when stage tables may be used again."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +181,27 @@ def test_a_run_that_died_is_taken_up_with_the_right_tables(spark, tmp_path, monk
     assert [(r["year"], r["n_persons"]) for r in read_summary(spark, out).collect()] == [(2016, 1)]
 
 
+def test_a_new_extract_is_merged_into_the_state(spark, tmp_path):
+    """Files of extracts that the state holds are not opened again; a changed one is."""
+    source, out = tmp_path / "raw", str(tmp_path / "out")
+    person_file(source, 2015, "198003")
+    run(spark, str(source), out, 2010, 2019)
+    old = source / "2015" / "XYZ2015PERSONAL_CDF.TXT"
+    told, text = os.stat(old), old.read_text()
+    old.write_text(text.replace("1980", "1933"))  # same size and time: nobody can tell, and nobody looks
+    os.utime(old, ns=(told.st_atime_ns, told.st_mtime_ns))
+    person_file(source, 2016, "198003")
+    rows = run(spark, str(source), out, 2010, 2019, from_stage=8).select("birth_year", "first_extract", "last_extract").collect()
+    assert {tuple(r) for r in rows} == {(1980, 2015, 2016)}
+    assert read_manifest(spark, out)["tables"]["person_state"]["built"]
+    old.write_text(text)  # another time: the state is built from all files
+    os.utime(old, ns=(told.st_atime_ns, told.st_mtime_ns + 5_000_000_000))
+    person_file(source, 2017, "198103")
+    assert run(spark, str(source), out, 2010, 2019, from_stage=8).count() == 0  # two birth years
+    whole = run(spark, str(source), str(tmp_path / "anew"), 2010, 2019)
+    assert whole.count() == 0
+
+
 def test_a_folder_without_a_manifest_is_built_anew(spark, tmp_path):
     source, out = tmp_path / "raw", str(tmp_path / "out")
     person_file(source, 2016, "198003")
