@@ -264,7 +264,11 @@ def run(spark: SparkSession, raw_root: str, out_root: str, first: int = codes.FI
     files = list_files(spark, raw_root, first, last)
     keys, versions = table_keys(files, first, last, shaped), Versions(spark, out_root)
     seen: dict[str, Observation] = {}
-    raw = scan_sources(spark, raw_root, files, seen if ledger else None)
+    known = _known_state(spark, before.get("person_state"), files) if from_stage > 1 else None
+    # files of extracts that the state holds need not be opened
+    held = known[1] if known else set()
+    opened = [f for f in files if f.source not in DEPENDS["person_state"][0] or f.year not in held]
+    raw = scan_sources(spark, raw_root, opened, seen if ledger else None)
     counts: dict[str, Observation] = {}
     done: dict[str, DataFrame | None] = {}
 
