@@ -374,7 +374,7 @@ for _name, _step in (("merged", 1), ("merged_ties", 5_000_000)):
     part(_name, ["contributions"],
          joined_contributions(month_rows(0, _step), month_rows(1, _step)))
 oracle("contrib_merge", ["merged"], "SELECT * FROM merged")
-oracle("stage_tables", ["merged"], f"SELECT {KEYS}, {', '.join(CON)} FROM merged")
+oracle("stage_tables", ["merged"], f"SELECT {KEYS}, {', '.join(CON + AUT)} FROM merged")
 oracle("contrib_full_outer", ["contributions"], f"""
 SELECT {KEYS}, CAST(sum(cents) FILTER (autonomous = 0) AS BIGINT) AS regular_cents,
        CAST(sum(cents) FILTER (autonomous = 1) AS BIGINT) AS autonomous_cents
@@ -469,6 +469,9 @@ part("firm_rows", ["episodes"], """
 SELECT firm_cc2, firm_cc, firm_id, exit_date, CAST(entry_date // 10000 AS SMALLINT) AS extract_year, firm_muni,
        CASE WHEN ptcoef % 3 <> 0 THEN ptcoef END AS firm_workers,
        CASE WHEN ptcoef % 5 <> 0 THEN ptcoef END AS firm_age,
+       CASE WHEN contract_type % 3 <> 0 THEN contract_type % 100 END AS sector_cnae93,
+       CASE WHEN contract_type % 7 <> 0 THEN contract_type % 90 END AS sector_cnae09,
+       contribution_regime % 2 AS firm_ett, firm_muni // 1000 AS firm_main_prov,
        CASE WHEN contract_type % 4 <> 0 THEN contract_type END AS firm_jur_type,
        chr(CAST(65 + contract_type % 26 AS INT)) AS firm_jur_status FROM episodes""")
 
@@ -478,16 +481,18 @@ def filled(c: str) -> str:
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}")
 
 
-_FIRM = ["firm_muni", "firm_workers", "firm_age", "firm_jur_type", "firm_jur_status"]
+_FIRM = ["firm_muni", "sector_cnae93", "sector_cnae09", "firm_workers", "firm_age", "firm_ett", "firm_jur_type",
+         "firm_jur_status", "firm_main_prov"]
 part("firm_picked", ["firm_rows"], f"""
 SELECT * FROM (
-  SELECT DISTINCT firm_cc2, extract_year AS year, firm_muni, firm_workers, firm_age,
+  SELECT DISTINCT firm_cc2, extract_year AS year, firm_muni, sector_cnae93, sector_cnae09, firm_workers, firm_age,
+         firm_ett, firm_main_prov,
          coalesce(firm_jur_type, 0) AS firm_jur_type,
          CASE WHEN {listed('firm_jur_status', codes.JURIDICAL_STATUS)} THEN firm_jur_status END AS firm_jur_status
   FROM firm_rows)
 QUALIFY row_number() OVER (PARTITION BY firm_cc2, year ORDER BY firm_age DESC NULLS FIRST,
-  firm_muni NULLS FIRST, firm_workers NULLS FIRST, firm_jur_type NULLS FIRST,
-  firm_jur_status NULLS FIRST) = 1""")
+  firm_muni NULLS FIRST, sector_cnae93 NULLS FIRST, sector_cnae09 NULLS FIRST, firm_workers NULLS FIRST,
+  firm_ett NULLS FIRST, firm_jur_type NULLS FIRST, firm_jur_status NULLS FIRST, firm_main_prov NULLS FIRST) = 1""")
 oracle("firm_panel", ["firm_picked"], f"""
 SELECT firm_cc2, year, {', '.join(filled(c) for c in _FIRM)},
        min(year) OVER (PARTITION BY firm_cc2) AS ini_year, max(year) OVER (PARTITION BY firm_cc2) AS end_year

@@ -12,7 +12,7 @@ from annualis import codes
 from annualis import operators as op
 from annualis.functions import (
     attach_code,
-    birth_month, birth_year, clamp, date_day, date_month, date_year, null_if, plain_int,
+    birth_month, birth_year, clamp, date_day, date_month, date_year, div, null_if, plain_int,
     safe_int, strip,
     strip_zeros, without_prefix,
 )
@@ -162,7 +162,7 @@ def stage_tables(spark, sf):
     return write_stage(table.hint("rebalance", "year"), shared_folder(spark), "contributions",
                        partition_by="year").select(
         "person_id", "firm_cc2", F.col("year").cast("smallint").alias("year"),
-        *[f"contribution_{m}" for m in MONTHS])
+        *[f"{kind}_{m}" for kind in ("contribution", "contribution_aut") for m in MONTHS])
 
 
 def scanned(spark, sf, source: str) -> DataFrame:
@@ -476,6 +476,9 @@ def firm_rows(spark, sf):
         date_year("entry_date").alias("extract_year"), "firm_muni",
         F.when(F.col("ptcoef") % 3 > 0, F.col("ptcoef")).alias("firm_workers"),
         F.when(F.col("ptcoef") % 5 > 0, F.col("ptcoef")).alias("firm_age"),
+        F.when(F.col("contract_type") % 3 > 0, F.col("contract_type") % 100).alias("sector_cnae93"),
+        F.when(F.col("contract_type") % 7 > 0, F.col("contract_type") % 90).alias("sector_cnae09"),
+        (F.col("contribution_regime") % 2).alias("firm_ett"), div("firm_muni", 1000).alias("firm_main_prov"),
         F.when(F.col("contract_type") % 4 > 0, F.col("contract_type")).alias("firm_jur_type"),
         F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
                     (F.col("contract_type") % 26 + 1).cast("int"), F.lit(1))
