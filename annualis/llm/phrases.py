@@ -19,7 +19,6 @@ Texts are split into words once: a block holds the words of many texts of a lang
 within its own dictionary.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +39,7 @@ LANES = 256
 FILTER_SLOTS = 1 << 24
 SECTION = 1 << 20  # bytes of a long text that are split into words at a time
 BLOCK_WORDS = 1 << 17
-HELD = 1 << 21  # hashes that a task holds before it sends their counts
-HELD_PHRASES = 1 << 18
+HELD = 1 << 21  # hashes or phrases that a task holds before it brings equal ones together
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 NEVER = 255
 
@@ -229,30 +227,43 @@ def counted(block: Block, times: np.ndarray, longest: int) -> Iterator[tuple[int
             yield length, names.filter(pa.array(wanted)), n[wanted]
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for k in range(0, batch.num_rows, 1 << 15):
+        yield batch.slice(k, 1 << 15)
+
+
 def exact_counts(found: DataFrame, times: Table, longest: int) -> DataFrame:
     """(lang, size, phrase, n) of the phrases that have reached their share, and of all words as one row a
     language, of size 0."""
     schema = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.binary()), ("n", pa.int64())])
 
-    def flush(held):
-        rows = [(lang, size, phrase, n) for (lang, size), names in sorted(held.items()) for phrase, n in names.items()]
-        for k in range(0, len(rows), 1 << 15):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows[k:k + (1 << 15)]), schema.types)], schema=schema)
+    keys = ["lang", "size", "phrase"]
+
+    def combined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held, schema).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        table = table.rename_columns({"n_sum": "n"}).select(schema.names).combine_chunks()
+        return (table.to_batches() or [pa.RecordBatch.from_pylist([], schema)])[0]
 
     def run(batches):
         table = times.get()
-        held: dict[tuple[str, int], Counter] = {}
+        held, size = [], 0
         for batch in batches:
             for block in _blocks(batch):
                 total = int((block.begins & ~block.is_end[block.ids]).sum())
                 parts = [(0, pa.array([b""], pa.binary()), np.array([total]))]
-                for size, names, n in [*parts, *counted(block, table, longest)]:
-                    held.setdefault((block.lang, size), Counter()).update(dict(zip(names.to_pylist(), n.tolist())))
-                if sum(map(len, held.values())) > HELD_PHRASES:
-                    yield from flush(held)
-                    held = {}
-        yield from flush(held)
+                for length, names, n in [*parts, *counted(block, table, longest)]:
+                    held.append(pa.RecordBatch.from_arrays(
+                        [pa.array([block.lang] * len(n)), pa.array([length] * len(n), pa.int8()), names,
+                         pa.array(n, pa.int64())], schema=schema))
+                    size += len(n)
+                if size > HELD:
+                    held = [combined(held)]
+                    size = held[0].num_rows
+                    if size > HELD // 2:  # little comes together
+                        yield from _pieces(held[0])
+                        held, size = [], 0
+        if held:
+            yield from _pieces(combined(held))
     return (found.mapInArrow(run, "lang string, size tinyint, phrase binary, n long")
             .groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")))
 
