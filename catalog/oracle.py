@@ -770,7 +770,8 @@ def _ledger(source: str, rows: str, width: int, parts: bool, needed: str) -> str
 SELECT '{source}' AS source, extract_year, {'part' if parts else 'CAST(NULL AS INT) AS part'}, count(*) AS n_rows,
        count_if(kind = 2 AND filled < {needed}) AS n_short, count_if(kind = 1) AS n_long, count_if(kind = 4) AS n_undecodable
 FROM (SELECT *, CAST(substr(trim(c0), 2) AS BIGINT) % 7 AS kind,
-             list_max(list_transform(list_zip([{fields}], range(1, {width} + 1)), lambda x: CASE WHEN x[1] <> '' THEN x[2] ELSE 0 END)) AS filled
+             list_max(list_transform(list_zip([{fields}], range(1, {width} + 1)),
+                                     lambda x: CASE WHEN x[1] <> '' THEN x[2] ELSE 0 END)) AS filled
       FROM {rows} {f"WHERE NOT {LEFT_OUT}" if source == 'AFILIAD' else ''})
 GROUP BY ALL"""
 
@@ -779,8 +780,10 @@ oracle("scan_ledger", [t[1] for t in _TEXTS], "\nUNION ALL\n".join(_ledger(*t) f
 oracle("source_files", ["raw_episodes", "raw_payments", "raw_persons"], f"""
 SELECT DISTINCT CAST(extract_year AS INT) AS year, 'AFILIAD' AS source, part,
        CASE WHEN {LEFT_OUT} THEN 'left out' ELSE 'read' END AS status FROM raw_episodes
-UNION ALL SELECT DISTINCT CAST(extract_year AS INT), 'FISCAL', CAST(NULL AS INT), s FROM raw_payments, (VALUES ('read'), ('superseded')) v(s)
-UNION ALL SELECT DISTINCT CAST(extract_year AS INT), 'PERSONAL', CAST(NULL AS INT), s FROM raw_persons, (VALUES ('read'), ('duplicate')) v(s)""")
+UNION ALL SELECT DISTINCT CAST(extract_year AS INT), 'FISCAL', CAST(NULL AS INT), s
+FROM raw_payments, (VALUES ('read'), ('superseded')) v(s)
+UNION ALL SELECT DISTINCT CAST(extract_year AS INT), 'PERSONAL', CAST(NULL AS INT), s
+FROM raw_persons, (VALUES ('read'), ('duplicate')) v(s)""")
 
 oracle("person_report", ["contributions", "payments", "snapshots"], """
 SELECT name, year, count(*) AS n_rows, count(DISTINCT person_id) AS n_entities, true AS within_error FROM (
