@@ -154,11 +154,14 @@ def active_hashes(block: Block, times: np.ndarray, step: int, shards: int, longe
     if step < shards:  # words are active from the start
         yield salted(at[block.begins & ~block.is_end[block.ids]], block.lang)
     places, whole, when = np.arange(len(at)), at, block.when(times)
+    since = np.zeros(len(at), dtype=np.uint8)  # words are scanned from the start
     for length in range(2, longest + 1):
-        # Phrases go on where the one at the next place has reached its share too.
-        since = np.full(len(at) + 1, NEVER, dtype=np.uint8)
-        since[places] = when
-        since = np.maximum(since[places], since[places + 1])
+        # Phrases go on where the one at the next place has reached its share too. A phrase is scanned
+        # from the border at which every shorter one inside it has its share, not only its two parts:
+        # a part's slots may have been set by others before the part itself was scanned.
+        ready = np.full(len(at) + 1, NEVER, dtype=np.uint8)
+        ready[places] = np.maximum(when, since)
+        since = np.maximum(ready[places], ready[places + 1])
         alive = since != NEVER
         places, whole, since = places[alive], whole[alive], since[alive]
         if not len(places):

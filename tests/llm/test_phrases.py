@@ -132,6 +132,20 @@ def test_a_cycle_is_one_scan_of_each_shard():
     assert steps == [3, 3, 4, 4, 1, 1, 0, 0, 0, 1, 1, 1, 1, 0]
 
 
+def test_a_cycle_starts_when_the_phrase_can_be_scanned():
+    """Slots of a part set early by others do not shorten the cycle of a longer phrase."""
+    one, size = block("a b c"), 1 << 12
+    times = np.full(size, ph.NEVER, dtype=np.uint8)
+    ha, hb, hc = one.hashes
+    ab, bc = ph.extended(ha, hb), ph.extended(hb, hc)
+    for h, border in ((ha, 1), (hb, 1), (hc, 5), (ab, 1), (bc, 2)):  # b c's slots were set by chance
+        times[ph.slots(ph.salted(np.array([h], dtype=np.uint64), "en"), size)] = border
+    abc = ph.salted(np.array([ph.extended(ab, hc)], dtype=np.uint64), "en")[0]
+    steps = [k for k in range(14) for found in ph.active_hashes(
+        one, np.where(times <= k, times, np.uint8(ph.NEVER)), k, 4, 5) if abc in found]
+    assert steps == [5, 6, 7, 8]
+
+
 def test_odd_rows(llm, odd, none):
     assert ph.collocations(none).count() == 0 and ph.collocations(odd).count() == 0
     want = brute([(r["lang"], r["text"]) for r in odd.collect()], 4)
