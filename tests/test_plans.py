@@ -164,3 +164,13 @@ def test_hot_firm_is_combined_before_the_shuffle(spark):
     text = plan(df)
     assert "Exchange" not in text[text.index("partial_min"):]
     assert [r["firm_age"] for r in df.collect()] == [39_999]
+
+
+def test_salted_lookup_is_not_broadcast(spark):
+    """The lookup repeated once per salt is larger than its estimate; it is shuffled, not sent through the driver."""
+    facts = spark.range(2_000).select(F.col("id"), (F.col("id") % 500).alias("k"))
+    lookup = spark.range(500).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10m"):
+        out = scattered_join(facts, lookup, ["k"], "left", ["id"])
+        assert "Broadcast" not in plan(out)
+        assert sorted(out.select("id", "v").collect()) == sorted(facts.join(lookup, "k", "left").select("id", "v").collect())
