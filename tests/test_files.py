@@ -222,3 +222,21 @@ def test_fixed_codes():
     assert [codes.PROVINCE_REGION[p] for p in (1, 8, 28, 41, 52)] == [16, 9, 13, 1, 19]
     assert len(codes.PROVINCE_REGION) == 52 and codes.CPI_BASE == 103.664
     assert codes.WORK_REGIMES[0] == (111, 137)
+
+
+def test_a_large_delivered_file_is_written_by_several_tasks(spark, tmp_path):
+    """One year's rows are not all written by one task: the file comes in several pieces, all read."""
+    from catalog.delivery import deliver
+
+    rows = spark.range(0, 20000, numPartitions=8).selectExpr(
+        "CAST(2015 AS SMALLINT) AS extract_year", "concat_ws(';', id, 'A', repeat('x', 40)) AS line")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        deliver(rows, str(tmp_path), "FISCAL")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    folder = tmp_path / "2015" / "XYZ2015FISCAL_CDF.TXT"
+    assert len([p for p in os.listdir(folder) if p.startswith("part-")]) > 1
+    read = scan_raw(spark, str(tmp_path), "FISCAL")
+    assert read.count() == 20000 and read.select("c0").distinct().count() == 20000
