@@ -44,12 +44,27 @@ def source_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Stored bytes of a table per partition it is dealt into: a task's share stays the same as tables grow.
+STORED_BYTES_A_PARTITION = 1 << 20
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of a table's files, from the file system's listing."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(hadoop_path).getLength()
+
+
 def projection(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The projection over whole tables. Line items are dealt by the key of their join with orders,
-    which a large table needs anyway; in a small one it spreads a file that comes in one piece."""
+    which a large table needs anyway; in a small one it spreads a file that comes in one piece. The
+    number of partitions grows with the stored table, so a task's share does not; a small table is
+    still spread over the session's cores."""
     tables = {t: source_table(spark, sf, t) for t in tables_of(name)}
     if "lineitem" in tables:
-        tables["lineitem"] = tables["lineitem"].repartition("l_orderkey")
+        least = spark.sparkContext.defaultParallelism
+        grown = -(-stored_bytes(spark, f"{sf}/lineitem.parquet") // STORED_BYTES_A_PARTITION)
+        tables["lineitem"] = tables["lineitem"].repartition(max(least, grown), "l_orderkey")
     return spark.sql(PROJECTIONS[name], **tables)
 
 
