@@ -240,3 +240,34 @@ def test_a_large_delivered_file_is_written_by_several_tasks(spark, tmp_path):
     assert len([p for p in os.listdir(folder) if p.startswith("part-")]) > 1
     read = scan_raw(spark, str(tmp_path), "FISCAL")
     assert read.count() == 20000 and read.select("c0").distinct().count() == 20000
+
+
+def test_delivered_lines_take_little_disk(spark, tmp_path):
+    """Lines are written compressed by the tasks that have them: no exchange, and all of them are read."""
+    from catalog.delivery import deliver
+
+    rows = spark.range(0, 60000, numPartitions=4).selectExpr(
+        "CAST(2015 + id % 3 AS SMALLINT) AS extract_year", "CAST(1 + id % 4 AS INT) AS part",
+        "concat_ws(';', id, '000000001', '20150101', '20151231', repeat('0;', 20)) AS line")
+    shuffle = spark._jsc.sc().newShuffleId()
+    deliver(rows, str(tmp_path), "AFILIAD")
+    assert spark._jsc.sc().newShuffleId() == shuffle + 1  # none was made between
+    stored = sum(p.stat().st_size for p in tmp_path.rglob("part-*"))
+    assert stored < rows.selectExpr("sum(length(line) + 1)").first()[0] / 4
+    read = scan_raw(spark, str(tmp_path), "AFILIAD")
+    told = read.groupBy("extract_year", "part").agg(F.count_distinct("c0").alias("n")).collect()
+    assert {(r["extract_year"], r["part"]): r["n"] for r in told} == {
+        (2015 + y, 1 + p): 5000 for y in range(3) for p in range(4)}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_more_files_than_are_open_at_once(spark, tmp_path, monkeypatch):
+    import catalog.delivery as delivery
+
+    monkeypatch.setattr(delivery, "OPEN_FILES", 2)
+    rows = spark.range(0, 3000, numPartitions=2).selectExpr(
+        "CAST(2015 + id % 2 AS SMALLINT) AS extract_year", "CAST(1 + id % 3 AS INT) AS part",
+        "concat_ws(';', id, 'A') AS line")
+    delivery.deliver(rows, str(tmp_path), "AFILIAD")
+    read = scan_raw(spark, str(tmp_path), "AFILIAD")
+    assert read.count() == 3000 and read.select("c0").distinct().count() == 3000
